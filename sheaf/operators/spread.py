@@ -1,0 +1,55 @@
+"""Joins on a key that may hold a large share of all rows.
+
+No side is broadcast by hint unless its size has a bound; where the optimiser knows or measures a
+side to be small it still broadcasts by itself.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Parts a key's rows are spread over when the other side has one short row per key.
+PARTS = 32
+# Rows from which a key counts as hot. A table of n rows has at most n / HOT_ROWS such keys.
+HOT_ROWS = 1_000_000
+
+
+def join_per_key(
+    df: DataFrame, per_key: DataFrame, key: str, spread_by: list[str], how: str, parts: int = PARTS
+) -> DataFrame:
+    """Join ``df`` with a table that has one short row per ``key``.
+
+    Each key's rows are spread over ``parts`` tasks by ``spread_by``; the short row is copied to all.
+    """
+    part = F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int")
+    copies = per_key.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return df.withColumn("_part", part).join(copies, [key, "_part"], how).drop("_part")
+
+
+def join_hot_key(
+    df: DataFrame, lookup: DataFrame, key: str, spread_by: list[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Left join with a lookup that is unique by ``key`` but has wide rows.
+
+    Only keys with at least ``hot_rows`` rows in ``df`` are spread, and only their lookup rows are
+    copied. That list of keys is bounded by ``rows / hot_rows``, hence the broadcast.
+    """
+    hot = (
+        df.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") >= hot_rows)
+        .select(key, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts"))
+    )
+    hot = F.broadcast(hot)
+    part = F.when(
+        F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int")
+    ).otherwise(0)
+    spread = df.join(hot, key, "left").withColumn("_part", part).drop("_parts")
+    last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
+    copies = (
+        lookup.join(hot, key, "left")
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
+        .drop("_parts")
+    )
+    return spread.join(copies, [key, "_part"], "left").drop("_part")
