@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheaf.sources.splits import at_least_parallel
+
 # Rows of a listing.
 DOCS_PER_LISTING = 50
 PAGES_PER_LISTING = 20
@@ -65,7 +67,9 @@ def variant() -> Column:
 
 def embedded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, repo, url_pos, url, content)``: one HTML page per document, with its whole text."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = at_least_parallel(
+        table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    )
     ident = text("doc-", F.col("doc_id"))
     name = text(F.col("lang"), " ", F.col("doc_id"))
     common = [F.lit("https://schema.org").alias("@context"), F.lit("Dataset").alias("@type")]
@@ -183,7 +187,9 @@ def nested_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def standalone_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(c_custkey, repo, url_pos, url, content)``: JSON documents, good and bad by key."""
-    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    rows = at_least_parallel(
+        table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    )
     key = F.col("c_custkey")
     plain = F.to_json(F.struct(F.col("c_name").alias("name"), F.col("c_custkey").alias("id")))
     v = key % 10
@@ -210,14 +216,17 @@ def standalone_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(repo, url_pos, url)``: each event asks for a URL; a third of all rows asks for the same one."""
-    rows = table(spark, sf_dir, "events").select("event_id", "user_id")
+    """``(repo, url_pos, url)``: each event asks for a URL.
+
+    A third of all rows belongs to one repository and asks for the same URL.
+    """
+    rows = table(spark, sf_dir, "events").select("event_id")
     event = F.col("event_id")
     url = F.when(event % 3 == 0, text("https://api.example.org/hot")).otherwise(
         text("https://api.example.org/event/", event)
     )
     return rows.select(
-        text(F.col("user_id"), "/", F.floor(event / 1000)).alias("repo"),
+        F.when(event % 3 == 0, "big").otherwise(text("r", F.floor(event / 8))).alias("repo"),
         event.alias("url_pos"),
         url.alias("url"),
     )
@@ -300,7 +309,9 @@ def fanout_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A record without doi and id (every sixth, from 3 on) cannot be reshaped.
     """
-    rows = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_size")
+    rows = at_least_parallel(
+        table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_size")
+    )
     key = F.col("p_partkey")
     doi = F.when(key % 3 != 0, F.when(key % 17 == 0, "null").otherwise(text('"10.4126/', key, '"')))
     inner = F.when(key % 2 == 0, text('"frl:', key, '"'))
@@ -334,7 +345,9 @@ def fanout_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def people_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records from orders whose creator is the customer and whose terms follow the key."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    orders = at_least_parallel(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     key = F.col("o_orderkey")

@@ -8,6 +8,7 @@ from queries.corpora import VARIANT_SQL, embedded_pages, standalone_documents, t
 from queries.registry import query
 from sheaf.functions.html import jsonld_blocks
 from sheaf.functions.json import with_records
+from sheaf.sources.splits import at_least_parallel
 from sheaf.operators.extract import dead_letters, extract_by_key, flatten_entries
 
 ESCAPED_SQL = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
@@ -128,7 +129,11 @@ SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber,
 FROM lineitem
 """)
 def canonical_json(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
+    lines = at_least_parallel(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate"
+        )
+    )
     content = text(
         '{ "part" : ', F.col("l_partkey"), ',\n"a":{"status":"', F.col("l_linestatus"), '","flag":"',
         F.col("l_returnflag"), '"},"\\u00fc\\\\":true, "A":[', F.col("l_suppkey"),

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheaf.functions.binding import bound
 from sheaf.operators.spread import join_per_key
 
 # Fixed values of the target vocabulary and of the source's identifiers.
@@ -73,11 +74,11 @@ def parsed_fields(records: DataFrame) -> DataFrame:
     df = records.withColumn(
         "_record", F.when(F.col("entry").startswith("{"), F.try_parse_json("entry"))
     )
-    kept = [F.col(c) for c in records.columns if c != "entry"]
     names = (*_SCALARS, *_FIRST_ONLY, *_PLAIN_LISTS, *_OBJECT_LISTS)
-    df = df.select(*kept, *(_key(F.col("_record"), name).alias(f"v_{name}") for name in names))
+    values = {f"v_{name}": _key(F.col("_record"), name) for name in names}
+    df = bound(df, values, drop=("_record", "entry"))
     lists = (*_PLAIN_LISTS, *_OBJECT_LISTS)
-    return df.withColumns({f"l_{name}": _iterated(F.col(f"v_{name}")) for name in lists})
+    return bound(df, {f"l_{name}": _iterated(F.col(f"v_{name}")) for name in lists})
 
 
 def with_errors(df: DataFrame) -> DataFrame:
@@ -160,9 +161,7 @@ def with_errors(df: DataFrame) -> DataFrame:
         & ~empty("title") & ~empty("description")
     )
     good = F.when(only_license & bad_license.isNotNull(), bad_license).otherwise(0)
-    return df.withColumn("failed", failed).withColumn(
-        "good_licences", F.when(F.col("failed"), good)
-    )
+    return bound(df, {"failed": failed, "good_licences": good})
 
 
 def _named(kind: str, *fields: tuple[str, Column]) -> Column:
@@ -289,8 +288,8 @@ def with_dataset_fields(df: DataFrame) -> DataFrame:
             _list("recordingLocation", _place("prefLabel")),
         ),
     }
-    kept = [F.col(c) for c in df.columns if not c.startswith(("v_", "l_"))]
-    return df.select(*kept, *(column.alias(name) for name, column in fields.items()))
+    sources = tuple(c for c in df.columns if c.startswith(("v_", "l_")))
+    return bound(df, fields, drop=sources)
 
 
 # Fields of the written object, in this order.
