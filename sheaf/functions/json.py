@@ -78,20 +78,24 @@ def with_records(df: DataFrame, content: str, out: str, keys: tuple[str, ...] =
     is not a list counts as a list of one. NULL content gives NULL.
     """
     text = F.col(content)
-    value, native = f"_{out}_value", f"_{out}_native"
-    candidate = F.when(text.rlike(_JSON_START), text)
-    df = df.withColumn(value, sealed(candidate))
+    value, exact, listed, native = (f"_{out}_{name}" for name in ("value", "exact", "listed", "native"))
+    df = df.withColumn(f"_{out}_json", text.rlike(_JSON_START))
+    is_json = F.col(f"_{out}_json")
+    df = df.withColumn(value, sealed(F.when(is_json, text)))
     df = df.withColumn(value, unsealed(F.col(value), text))
-    found = F.try_variant_get(value, _path(keys), "variant")
-    exact = F.col(value).isNotNull() & ~is_inexact(text)
-    listed = F.try_variant_get(found, "$", "array<variant>").isNotNull()
+    df = df.withColumn(exact, F.col(value).isNotNull() & ~is_inexact(text))
+    if keys:
+        df = df.withColumn(value, F.try_variant_get(value, _path(keys), "variant"))
+    df = df.withColumn(listed, F.try_variant_get(value, "$", "array<variant>"))
+    is_list = F.col(listed).isNotNull()
+    items = F.when(is_list, texts(F.col(listed))).otherwise(F.array(F.to_json(value)))
     df = df.withColumn(
         native,
         F.when(text.isNull(), F.lit(None))
-        .when(~text.rlike(_JSON_START), _records("parse"))
-        .when(exact & found.isNull(), _records("missing"))
-        .when(exact, _records("ok", listed, texts(members(found)))),
-    ).drop(value)
+        .when(~is_json, _records("parse"))
+        .when(F.col(exact) & F.col(value).isNull(), _records("missing"))
+        .when(F.col(exact), _records("ok", is_list, items)),
+    ).drop(value, exact, listed, f"_{out}_json")
     rest = F.when(F.col(native).isNull(), text)
     df = df.withColumn(f"_{out}_other", _records_helper(keys)(rest))
     return df.withColumn(out, F.coalesce(native, f"_{out}_other")).drop(native, f"_{out}_other")
