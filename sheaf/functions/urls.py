@@ -11,6 +11,11 @@ def _clean(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(url, r"[\t\r\n]", ""), r"^[\x00-\x20]+", "")
 
 
+def request_key(url: Column) -> Column:
+    """What requests and landed responses are matched by: the URL without blanks around it."""
+    return F.rtrim(_clean(url))
+
+
 def url_scheme(url: Column) -> Column:
     """Lower-case scheme, ``''`` if there is none."""
     return F.lower(F.regexp_extract(_clean(url), r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.charsets import decoded_text
-from sheaf.functions.urls import url_scheme
+from sheaf.functions.urls import request_key, url_scheme
 from sheaf.operators.spread import HOT_ROWS, join_hot_key
 from sheaf.sources.responses import latest_by_url
 
@@ -63,14 +63,15 @@ def error_scope(stage: str, outcome: Column) -> Column:
 def landed_outcomes(responses: DataFrame, client_error_scope: str = DATASET) -> DataFrame:
     """``(url, outcome)`` before decoding; the scan reads no bodies."""
     outcome = status_outcome(F.col("status"), F.col("net_error"), client_error_scope)
-    return latest_by_url(responses.withColumn("outcome", outcome), ["outcome"])
+    df = responses.withColumns({"url": request_key(F.col("url")), "outcome": outcome})
+    return latest_by_url(df, ["outcome"])
 
 
 def landed_texts(responses: DataFrame, client_error_scope: str = DATASET) -> DataFrame:
     """Replace ``body`` by ``outcome`` and ``content``. A narrow step: nothing is shuffled."""
     charset = F.col("charset") if "charset" in responses.columns else None
     outcome = status_outcome(F.col("status"), F.col("net_error"), client_error_scope)
-    df = responses.withColumn("outcome", outcome)
+    df = responses.withColumns({"url": request_key(F.col("url")), "outcome": outcome})
     df = df.withColumn(
         "content", F.when(F.col("outcome") == "ok", decoded_text(F.col("body"), charset))
     )
@@ -84,5 +85,7 @@ def fetch(
     requests: DataFrame, landed: DataFrame, spread_by: list[str], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """One outcome per requested position; ``landed`` is unique by URL and has an ``outcome``."""
-    df = join_hot_key(requests, landed, "url", spread_by, hot_rows)
+    requests = requests.withColumn("_key", request_key(F.col("url")))
+    landed = landed.withColumnRenamed("url", "_key")
+    df = join_hot_key(requests, landed, "_key", spread_by, hot_rows).drop("_key")
     return df.withColumn("outcome", url_outcome(F.col("url"), F.col("outcome")))

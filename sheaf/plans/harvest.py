@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheaf.functions.urls import request_key
 from sheaf.operators.extract import (
     EXTRACTORS,
     Extractor,
@@ -62,10 +63,11 @@ def fetch_listings(
 
     Responses are first reduced to the listings, then joined, so the big table is not shuffled.
     """
-    wanted = repos.select("url").distinct()
-    hits = landed_texts(responses.join(wanted, "url", "left_semi"), client_error_scope)
-    hits = latest_by_url(hits, ["outcome", "content"])
-    joined = repos.join(hits, "url", "left")
+    repos = repos.withColumn("_key", request_key(F.col("url")))
+    wanted = repos.select(F.col("_key").alias("url")).distinct()
+    hits = responses.withColumn("url", request_key(F.col("url"))).join(wanted, "url", "left_semi")
+    hits = latest_by_url(landed_texts(hits, client_error_scope), ["outcome", "content"])
+    joined = repos.join(hits.withColumnRenamed("url", "_key"), "_key", "left").drop("_key")
     return joined.withColumn("outcome", url_outcome(F.col("url"), F.col("outcome")))
 
 

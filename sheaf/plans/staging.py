@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sheaf.sources.splits import at_least_parallel
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a new local one only where that is unset."""
@@ -24,7 +26,7 @@ class Stage:
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return at_least_parallel(self.spark.read.schema(df.schema).parquet(path))
 
 
 def unstaged(df: DataFrame, name: str) -> DataFrame:

@@ -15,15 +15,18 @@ def page(*blocks):
     return "<html><head><title>x</title></head><body>" + "".join(blocks) + "</body></html>"
 
 
+def run_all(spark, key, contents):
+    rows = [(pos, key, content) for pos, content in enumerate(contents)]
+    df = spark.createDataFrame(rows, "url_pos int, metadata string, content string")
+    got = extract_by_key(df).orderBy("url_pos").collect()
+    return [(row.outcome, row.entries, row.raw) for row in got]
+
+
 def run(spark, key, content):
-    df = spark.createDataFrame([("r", 0, "http://x", key, content)], "repo string, url_pos int, url string, metadata string, content string")
-    row = extract_by_key(df).collect()[0]
-    return row.outcome, row.entries, row.raw
+    return run_all(spark, key, [content])[0]
 
 
-@pytest.mark.parametrize(
-    "html, outcome, entries",
-    [
+EMBEDDED = [
         (page(LD.format(ONE)), "ok", [json.loads(ONE)]),
         (page(LD.format(TWO)), "ok", json.loads(TWO)),
         (page(LD.format(ONE), "<p>", LD.format(TWO)), "ok", [json.loads(ONE), *json.loads(TWO)]),
@@ -46,10 +49,18 @@ def run(spark, key, content):
         (page(LD.format('{"n": 1.0, "e": 1e3, "big": 123456789012345678901234567890123456789012}')), "ok",
          [{"n": 1.0, "e": 1000.0, "big": 123456789012345678901234567890123456789012}]),
         (page(LD.format('{"a": 1, "a": 2}')), "ok", [{"a": 2}]),
-    ],
-)
-def test_embedded(spark, html, outcome, entries):
-    got, texts, raw = run(spark, "embedded_jsonld", html)
+]
+
+
+@pytest.fixture(scope="module")
+def embedded(spark):
+    return run_all(spark, "embedded_jsonld", [html for html, _, _ in EMBEDDED])
+
+
+@pytest.mark.parametrize("case", range(len(EMBEDDED)))
+def test_embedded(embedded, case):
+    _, outcome, entries = EMBEDDED[case]
+    got, texts, raw = embedded[case]
     assert got == outcome
     if entries is None:
         assert texts is None and raw is not None
@@ -58,9 +69,7 @@ def test_embedded(spark, html, outcome, entries):
         assert texts == want and raw is None
 
 
-@pytest.mark.parametrize(
-    "content, entries",
-    [
+STANDALONE = [
         (ONE, [json.loads(ONE)]),
         (TWO, json.loads(TWO)),
         ("", None),
@@ -79,10 +88,18 @@ def test_embedded(spark, html, outcome, entries):
         ('{"z": "\\u001f \\u00e9 / \\"", "a": [3, 2.50]}', [{"z": '\u001f é / "', "a": [3, 2.5]}]),
         ('﻿{"a": 1}', None),
         ('{"a": "x\ny"}', None),
-    ],
-)
-def test_standalone(spark, content, entries):
-    outcome, texts, raw = run(spark, "jsonld", content)
+]
+
+
+@pytest.fixture(scope="module")
+def standalone(spark):
+    return run_all(spark, "jsonld", [content for content, _ in STANDALONE])
+
+
+@pytest.mark.parametrize("case", range(len(STANDALONE)))
+def test_standalone(standalone, case):
+    content, entries = STANDALONE[case]
+    outcome, texts, raw = standalone[case]
     if entries is None:
         assert (outcome, texts, raw) == ("parse", None, [content])
     else:
