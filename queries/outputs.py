@@ -24,6 +24,7 @@ from sheaf.plans.harvest import (
     output_files,
     route_outputs,
 )
+from sheaf.plans.staging import Stage
 from sheaf.sinks.documents import document_lines
 from sheaf.sinks.snapshots import snapshot_rows
 
@@ -88,9 +89,15 @@ def _report(report):
     return report.select(*positions, "repo_name", "valid_entries", "failed_entries", "skipped")
 
 
+def landed(spark, inputs):
+    """Catalog and responses as tables, the form in which a harvest gets them."""
+    stage = Stage(spark)
+    return [stage(df, name) for df, name in zip(inputs, ("repos", "responses"), strict=True)]
+
+
 @query(CRAWL_SQL)
 def harvest_crawl(spark, sf_dir):
-    done = harvest(*crawl_inputs(spark, sf_dir))
+    done = harvest(*landed(spark, crawl_inputs(spark, sf_dir)), unique_urls=True)
     return _report(final_report(done.reports, done.entries))
 
 
@@ -109,7 +116,7 @@ SELECT 'publisso-' || part, 'publisso.json', true, coalesce(counts.n, 0)::BIGINT
 FROM own LEFT JOIN counts USING (part)
 """)
 def harvest_inline(spark, sf_dir):
-    repos, responses = inline_inputs(spark, sf_dir)
+    repos, responses = landed(spark, inline_inputs(spark, sf_dir))
     done = harvest(repos, responses)
     files = output_files(done.reports, repos, route_outputs(done.entries))
     return files.select("repo", "file_name", "published", "row_count")
@@ -129,5 +136,5 @@ UNION ALL
 SELECT DISTINCT part, 0, 'openagrar-' || part, 0, 0, true FROM pages WHERE part % 9 = 8
 """)
 def harvest_split(spark, sf_dir):
-    done = harvest(*split_inputs(spark, sf_dir))
+    done = harvest(*landed(spark, split_inputs(spark, sf_dir)))
     return _report(final_report(done.reports, done.entries))

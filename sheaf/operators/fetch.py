@@ -60,11 +60,13 @@ def error_scope(stage: str, outcome: Column) -> Column:
     )
 
 
-def landed_outcomes(responses: DataFrame, client_error_scope: str = DATASET) -> DataFrame:
+def landed_outcomes(
+    responses: DataFrame, client_error_scope: str = DATASET, unique_urls: bool = False
+) -> DataFrame:
     """``(url, outcome)`` before decoding; the scan reads no bodies."""
     outcome = status_outcome(F.col("status"), F.col("net_error"), client_error_scope)
     df = responses.withColumns({"url": request_key(F.col("url")), "outcome": outcome})
-    return latest_by_url(df, ["outcome"])
+    return df.select("url", "outcome") if unique_urls else latest_by_url(df, ["outcome"])
 
 
 def landed_texts(responses: DataFrame, client_error_scope: str = DATASET) -> DataFrame:

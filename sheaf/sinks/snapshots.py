@@ -49,8 +49,8 @@ def publish(
 ) -> None:
     """Append one snapshot of the published files under ``root``.
 
-    Entries go to a folder of their own first. The manifest is written last, and readers start from
-    the manifest, so a run that fails or loses its driver half-way leaves nothing visible.
+    Entries are written first, then the manifest, and last the single row that makes the run visible:
+    readers start from there, so a run that fails half-way shows nothing, and can be repeated.
     """
     error = run_errors.limit(1).collect()
     if error:
@@ -69,7 +69,15 @@ def publish(
         .parquet(f"{root}/data")
     )
     rows = snapshot_rows(files.where("published"), moment, producer)
-    rows.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+    (
+        rows.withColumn("run", F.lit(_folder(harvested_at)))
+        .write.partitionBy("run")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(f"{root}/manifest")
+    )
+    run = outputs.sparkSession.range(1).select(F.lit(_folder(harvested_at)).alias("run"))
+    run.write.mode("append").parquet(f"{root}/runs")
 
 
 def _folder(harvested_at: datetime) -> str:
@@ -77,8 +85,10 @@ def _folder(harvested_at: datetime) -> str:
 
 
 def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """The manifest: every file version that was published."""
-    return spark.read.schema(SNAPSHOTS).parquet(f"{root}/manifest")
+    """The manifest: every file version of every run that was published as a whole."""
+    runs = spark.read.schema("run STRING").parquet(f"{root}/runs")
+    manifest = spark.read.schema(f"{SNAPSHOTS}, run STRING").parquet(f"{root}/manifest")
+    return manifest.join(runs, "run", "left_semi").drop("run")
 
 
 def read_snapshot(

@@ -23,7 +23,6 @@ def latest_by_url(df: DataFrame, payload: list[str]) -> DataFrame:
     Copies of a URL are reduced before the shuffle, so a URL that landed very often costs no task
     more than the others.
     """
-    order = ["landed_at"] if "landed_at" in df.columns else []
-    order += [column for column in ("status", "net_error") if column in df.columns]
-    best = F.max_by(F.struct(*payload), F.struct(*order, *payload)).alias("best")
-    return df.groupBy("url").agg(best).select("url", "best.*")
+    order = [c for c in ("landed_at", "status", "net_error") if c in df.columns]
+    best = F.max(F.struct(*order, *payload)).alias("best")
+    return df.groupBy("url").agg(best).select("url", *(f"best.{column}" for column in payload))
