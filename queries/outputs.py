@@ -118,7 +118,8 @@ FROM own LEFT JOIN counts USING (part)
 def harvest_inline(spark, sf_dir):
     repos, responses = landed(spark, inline_inputs(spark, sf_dir))
     done = harvest(repos, responses)
-    files = output_files(done.reports, repos, route_outputs(done.entries))
+    outputs = route_outputs(done.entries, stage=Stage(spark))
+    files = output_files(done.reports, repos, outputs)
     return files.select("repo", "file_name", "published", "row_count")
 
 

@@ -6,6 +6,7 @@ results. A record may give several datasets (titles x descriptions x licences) o
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -318,44 +319,44 @@ def first_failures(df: DataFrame) -> DataFrame:
     return df.where("failed").groupBy("repo").agg(F.min(position).alias("first_failure"))
 
 
-def reshape(records: DataFrame, on_error: str = "truncate") -> DataFrame:
+def reshape(
+    records: DataFrame,
+    on_error: str = "truncate",
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
+) -> DataFrame:
     """Records ``(repo, url_pos, item_pos, entry)`` to datasets, with the entry replaced.
 
     ``on_error='truncate'`` keeps what comes before a repository's first failing record, including
     what that record gives before it fails; ``'drop'`` leaves out the failing records only.
     Output order is ``(url_pos, item_pos, title_pos, description_pos, license_pos)``.
+
+    Records behind the first failure are left out before anything is built from them. With ``stage``
+    (see :mod:`sheaf.plans.staging`) the first failures, one short row per repository, become a table
+    whose size the optimiser knows, so that few of them are broadcast and no record is shuffled.
     """
     if on_error not in ("truncate", "drop"):
         raise ValueError(f"on_error must be 'truncate' or 'drop': {on_error!r}")
     records = records.select("repo", "url_pos", "item_pos", "entry")
-    checked = with_errors(parsed_fields(records))
-    df = with_dataset_fields(checked)
     if on_error == "drop":
-        df = df.where(~F.col("failed"))
+        df = with_dataset_fields(with_errors(parsed_fields(records)).where(~F.col("failed")))
     else:
-        first = first_failures(checked)
-        df = join_per_key(df, first, "repo", ["url_pos", "item_pos"], "left")
+        first = first_failures(with_errors(parsed_fields(records)))
+        if stage is not None:
+            first = stage(first, "first_failures")
         position = F.struct("url_pos", "item_pos")
-        df = df.where(
-            F.col("first_failure").isNull()
-            | (position < F.col("first_failure"))
-            | ((position == F.col("first_failure")) & (F.col("good_licences") > 0))
-        ).drop("first_failure")
-        failed = F.col("failed")
-        df = df.withColumns(
-            {
-                "titles": F.when(failed, F.slice("titles", 1, 1)).otherwise(F.col("titles")),
-                "descriptions": F.when(failed, F.slice("descriptions", 1, 1)).otherwise(
-                    F.col("descriptions")
-                ),
-                "licences": F.when(
-                    failed, F.slice("licences", F.lit(1), F.col("good_licences"))
-                ).otherwise(F.col("licences")),
-            }
-        )
+        df = join_per_key(records, first, "repo", ["url_pos", "item_pos"], "left")
+        df = df.where(F.col("first_failure").isNull() | (position <= F.col("first_failure")))
+        df = with_dataset_fields(with_errors(parsed_fields(df.drop("first_failure"))))
+        df = bound(df, {c: _before_failure(c) for c in ("titles", "descriptions", "licences")})
     df = fan_out(df.drop("failed", "good_licences"))
     entry = F.to_json(F.struct(*(F.col(f"`{name}`") for name in DATASET_FIELDS)))
     return df.select(
         "repo", "url_pos", "item_pos", "title_pos", "description_pos", "license_pos",
         entry.alias("entry"),
     )
+
+
+def _before_failure(choices: str) -> Column:
+    """A failing record gives its good licences with its first title and description."""
+    kept = F.col("good_licences") if choices == "licences" else F.least("good_licences", F.lit(1))
+    return F.when(F.col("failed"), F.slice(choices, F.lit(1), kept)).otherwise(F.col(choices))

@@ -14,6 +14,18 @@ PARTS = 32
 # Rows from which a key counts as hot. A table of n rows has at most n / HOT_ROWS such keys.
 HOT_ROWS = 1_000_000
 
+# Rows up to which a table of short rows is broadcast by hint (some 100 bytes each).
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast if a count shows that ``df`` has few rows; otherwise leave it as it is.
+
+    For tables that cost nothing to count, such as a catalog; the optimiser has no size for one that
+    was built from records.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
 
 def join_per_key(
     df: DataFrame, per_key: DataFrame, key: str, spread_by: list[str], how: str, parts: int = PARTS

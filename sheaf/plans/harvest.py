@@ -36,8 +36,8 @@ from sheaf.operators.routing import (
     split_by_publisher,
     split_reports,
 )
-from sheaf.operators.spread import HOT_ROWS, join_per_key
-from sheaf.plans.staging import Stage
+from sheaf.operators.spread import HOT_ROWS, join_per_key, small
+from sheaf.plans.staging import Stage, unstaged
 from sheaf.sources.files import file_responses
 from sheaf.sources.responses import latest_by_url
 
@@ -64,7 +64,7 @@ def fetch_listings(
     Responses are first reduced to the listings, then joined, so the big table is not shuffled.
     """
     repos = repos.withColumn("_key", request_key(F.col("url")))
-    wanted = repos.select(F.col("_key").alias("url")).distinct()
+    wanted = small(repos.select(F.col("_key").alias("url")).distinct())
     hits = responses.withColumn("url", request_key(F.col("url"))).join(wanted, "url", "left_semi")
     hits = latest_by_url(landed_texts(hits, client_error_scope), ["outcome", "content"])
     joined = repos.join(hits.withColumnRenamed("url", "_key"), "_key", "left").drop("_key")
@@ -149,7 +149,11 @@ def harvest(
     return Harvest(listings, pages, entries, reports, dead_letters(pages), run_errors)
 
 
-def route_outputs(entries: DataFrame, on_error: str = "truncate") -> DataFrame:
+def route_outputs(
+    entries: DataFrame,
+    on_error: str = "truncate",
+    stage: Callable[[DataFrame, str], DataFrame] = unstaged,
+) -> DataFrame:
     """All files of a run as rows ``(repo, file_name, position, entry)``.
 
     Every repository with entries has a file of its own name; the special routes add theirs, and
@@ -163,7 +167,7 @@ def route_outputs(entries: DataFrame, on_error: str = "truncate") -> DataFrame:
     own = own.where(~F.coalesce(F.array_contains(special, F.col("repo")), F.lit(False)))
     split = split_by_publisher(entries.where(route == "split"))
     split = split.withColumn("file_name", F.concat("target", F.lit(".json"))).drop("target")
-    reshaped = reshape(entries.where(route == "reshape"), on_error).withColumn(
+    reshaped = reshape(entries.where(route == "reshape"), on_error, stage).withColumn(
         "file_name", F.lit(f"{RESHAPE_TARGET}.json")
     )
     whole = own.unionByName(split).unionByName(reshaped, allowMissingColumns=True)

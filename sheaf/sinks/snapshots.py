@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +20,27 @@ class RunFailed(RuntimeError):
 
 
 def commit_message(producer: str, harvested_at: Column, source_url: Column) -> Column:
-    """Provenance text of one published file."""
-    moment = F.date_format(harvested_at, "yyyy-MM-dd HH:mm:ss.SSSSSS zzzxx")
+    """Provenance text of one published file; the time is in UTC whatever the session's time zone."""
+    micros = F.unix_micros(harvested_at)
+    second = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(micros / _DAY).cast("int"))
+    clock = F.pmod(F.floor(micros / 1_000_000).cast("bigint"), F.lit(86_400))
+    parts = (F.floor(clock / 3600), F.floor(clock / 60) % 60, clock % 60)
+    time = F.concat_ws(":", *(F.lpad(part.cast("string"), 2, "0") for part in parts))
+    fraction = F.lpad(F.pmod(micros, F.lit(1_000_000)).cast("string"), 6, "0")
     return F.concat(
-        F.lit(f"harvested by {producer} at "), moment, F.lit(" from "), source_url
-    )
+        F.lit(f"harvested by {producer} at "), second.cast("string"), F.lit(" "), time, F.lit("."),
+        fraction, F.lit(" UTC+0000 from "), source_url,
+    )
+
+
+_DAY = 86_400_000_000
+
+
+def _instant(moment: datetime) -> Column:
+    """A literal timestamp; a time without zone is UTC."""
+    aware = moment if moment.tzinfo else moment.replace(tzinfo=UTC)
+    since = aware - datetime(1970, 1, 1, tzinfo=UTC)
+    return F.timestamp_micros(F.lit(since // timedelta(microseconds=1)).cast("bigint"))
 
 
 def snapshot_rows(files: DataFrame, harvested_at: Column, producer: str) -> DataFrame:
@@ -55,7 +71,7 @@ def publish(
     error = run_errors.limit(1).collect()
     if error:
         raise RunFailed(f"nothing published: {error[0].asDict()}")
-    moment = F.lit(harvested_at).cast("timestamp")
+    moment = _instant(harvested_at)
     keys = ["repo", "file_name", *(c for c in POSITION if c in outputs.columns)]
     published = files.where("published").select("repo", "file_name")
     data = outputs.join(published, ["repo", "file_name"], "left_semi")
@@ -81,7 +97,8 @@ def publish(
 
 
 def _folder(harvested_at: datetime) -> str:
-    return harvested_at.strftime("%Y%m%dT%H%M%S%f")
+    utc = harvested_at.astimezone(UTC) if harvested_at.tzinfo else harvested_at
+    return utc.strftime("%Y%m%dT%H%M%S%f")
 
 
 def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
@@ -99,7 +116,7 @@ def read_snapshot(
     here = (F.col("run") == _folder(harvested_at)) & (F.col("file_name") == file_name)
     shown = (
         read_snapshots(spark, root)
-        .where((F.col("harvested_at") == F.lit(harvested_at)) & (F.col("file_name") == file_name))
+        .where((F.col("harvested_at") == _instant(harvested_at)) & (F.col("file_name") == file_name))
         .select(F.col("repo_name").alias("repo"))
         .distinct()
     )

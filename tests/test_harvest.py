@@ -11,7 +11,7 @@ from sheaf.plans.harvest import final_report, harvest, output_files, route_outpu
 from sheaf.plans.staging import Stage, unstaged
 from sheaf.schemas import RESPONSES
 from sheaf.sinks.documents import write_documents, write_lines
-from sheaf.sinks.snapshots import RunFailed, publish, read_snapshot, read_snapshots
+from sheaf.sinks.snapshots import RunFailed, commit_message, publish, read_snapshot, read_snapshots
 from sheaf.sources.catalog import repo_catalog
 from sheaf.sources.files import scan_files
 
@@ -251,6 +251,20 @@ def test_publish(spark, inputs, done, tmp_path):
     assert read_snapshot(spark, root, later, "publisso.json").count() == 2
 
 
+def test_message_is_in_utc(spark):
+    df = spark.sql("SELECT timestamp_micros(1704164645123456) AS at, timestamp_micros(-1) AS early")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        row = df.select(
+            commit_message("x", F.col("at"), F.lit("u")).alias("a"),
+            commit_message("x", F.col("early"), F.lit("u")).alias("b"),
+        ).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert row.a == "harvested by x at 2024-01-02 03:04:05.123456 UTC+0000 from u"
+    assert row.b == "harvested by x at 1969-12-31 23:59:59.999999 UTC+0000 from u"
+
+
 def test_a_run_error_publishes_nothing(spark, tmp_path):
     config = [
         {"name": "fine", "url": "http://l/1", "sitemap": "publisso"},
