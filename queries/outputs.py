@@ -43,9 +43,10 @@ def snapshot_publish(spark, sf_dir):
         text("user-", F.col("user_id"), ".json").alias("file_name"),
         text("https://example.org/", F.col("event_id")).alias("url"),
         F.col("event_id").alias("row_count"),
-        "ts",
+        F.col("ts").cast("timestamp").alias("ts"),
     )
-    return snapshot_rows(files, F.col("ts"), "sheaf")
+    rows = snapshot_rows(files, F.col("ts"), "sheaf")
+    return rows.withColumn("harvested_at", F.col("harvested_at").cast("timestamp_ntz"))
 
 
 @query("""

@@ -22,13 +22,14 @@ class RunFailed(RuntimeError):
 def commit_message(producer: str, harvested_at: Column, source_url: Column) -> Column:
     """Provenance text of one published file; the time is in UTC whatever the session's time zone."""
     micros = F.unix_micros(harvested_at)
-    second = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(micros / _DAY).cast("int"))
-    clock = F.pmod(F.floor(micros / 1_000_000).cast("bigint"), F.lit(86_400))
+    in_day = F.pmod(micros, F.lit(_DAY))
+    day = F.date_add(F.lit("1970-01-01").cast("date"), ((micros - in_day) / _DAY).cast("int"))
+    clock = F.floor(in_day / 1_000_000)
     parts = (F.floor(clock / 3600), F.floor(clock / 60) % 60, clock % 60)
     time = F.concat_ws(":", *(F.lpad(part.cast("string"), 2, "0") for part in parts))
     fraction = F.lpad(F.pmod(micros, F.lit(1_000_000)).cast("string"), 6, "0")
     return F.concat(
-        F.lit(f"harvested by {producer} at "), second.cast("string"), F.lit(" "), time, F.lit("."),
+        F.lit(f"harvested by {producer} at "), day.cast("string"), F.lit(" "), time, F.lit("."),
         fraction, F.lit(" UTC+0000 from "), source_url,
     )
 
