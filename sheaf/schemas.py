@@ -25,6 +25,3 @@ RESPONSES = T.StructType(
 # Columns a responses table may carry on top of RESPONSES.
 CHARSET = T.StructField("charset", T.StringType(), True)
 LANDED_AT = T.StructField("landed_at", T.TimestampType(), True)
-
-ENTRIES = "repo STRING, url_pos INT, item_pos INT, entry STRING"
-REPORTS = "repo_name STRING, valid_entries BIGINT, failed_entries BIGINT, skipped BOOLEAN"
