@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import language_id, quality, simhash
+from sheaf.llm import decontaminate, language_id, line_dedup, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: None of the results is expressible in the SQL of the driver's database: see the brute-force versions in tests/llm.
@@ -23,6 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's text without the passages that an earlier one holds."""
+    return line_dedup.deduplicate_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), removed="n_removed")
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of documents with benchmark items."""
+    return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of each document."""
