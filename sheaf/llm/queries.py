@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import decontaminate, language_id, line_dedup, quality, simhash
+from sheaf.llm import decontaminate, language_id, line_dedup, mixing, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: None of the results is expressible in the SQL of the driver's database: see the brute-force versions in tests/llm.
@@ -35,6 +35,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document."""
+    return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of each document."""
