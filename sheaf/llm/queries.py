@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import decontaminate, language_id, line_dedup, mixing, quality, simhash, toxicity
+from sheaf.llm import cap_filters, decontaminate, language_id, line_dedup, mixing, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: None of the results is expressible in the SQL of the driver's database: see the brute-force versions in tests/llm.
@@ -62,6 +62,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+@query
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of each vector."""
+    return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of each document."""
