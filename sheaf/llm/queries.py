@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import cap_filters, decontaminate, language_id, line_dedup, mixing, quality, simhash, toxicity
+from sheaf.llm import cap_filters, decontaminate, language_id, licences, line_dedup, mixing, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: None of the results is expressible in the SQL of the driver's database: see the brute-force versions in tests/llm.
@@ -41,6 +41,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and labels of each document."""
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of each document."""
