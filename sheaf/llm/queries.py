@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import cap_filters, decontaminate, language_id, licences, line_dedup, mixing, quality, simhash, toxicity
+from sheaf.llm import cap_filters, decontaminate, language_id, licences, line_dedup, mixing, quality, recurrent_lm, simhash, toxicity
+from sheaf.llm.text import doc_hash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: None of the results is expressible in the SQL of the driver's database: see the brute-force versions in tests/llm.
@@ -29,6 +30,14 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicate_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), removed="n_removed")
 
 
+@query
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of each document by the unigram base and by the recurrent model."""
+    held_out = doc_hash(F.col("doc_id"), 5) == 1
+    found = recurrent_lm.lm_scores(table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlaps of documents with benchmark items."""
