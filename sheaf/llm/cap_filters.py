@@ -14,11 +14,11 @@ from sheaf.llm.components import checkpointed, connected_components
 
 MIN_COSINE = 0.9
 #: Directions are all combinations of one code word per half of the rotated vector.
-CODE_WORDS = 128
+CODE_WORDS = 256
 #: A vector belongs to the caps whose direction's inner product exceeds this, in units of 1 / sqrt(dimension).
-THRESHOLD = 3.1
+THRESHOLD = 3.5
 #: A vector in fewer caps than this goes to so many of its nearest directions.
-LEAST_CAPS = 4
+LEAST_CAPS = 12
 #: Vectors of one cap that are compared at once; a larger cap is cut by a hash, and each two parts are compared.
 PART_ROWS = 1024
 SEED = 23
@@ -38,7 +38,8 @@ class Code:
         half = dimension // 2
         words = []
         for width in (half, dimension - half):
-            drawn = rng.normal(size=(size, width))
+            # A line has two directions, and spaces of few dimensions no use for many.
+            drawn = rng.normal(size=(min(size, 4**width), width)) if width != 1 else np.array([[1.0], [-1.0]])
             # Both halves of a direction have the length that makes the whole a unit vector.
             words.append(drawn / np.maximum(np.linalg.norm(drawn, axis=1, keepdims=True), 1e-12) * (width / dimension) ** 0.5)
         return cls(rotation, (words[0], words[1]))
@@ -50,7 +51,7 @@ class Code:
         are a prefix; words that reach it with none are passed over.
         """
         turned = vectors @ self.rotation
-        half, size = self.words[0].shape[1], len(self.words[0])
+        half, size = self.words[0].shape[1], len(self.words[1])
         first, second = turned[:, :half] @ self.words[0].T, turned[:, half:] @ self.words[1].T
         order = np.argsort(-second, axis=1, kind="stable")
         falling = -np.take_along_axis(second, order, axis=1)
@@ -62,11 +63,11 @@ class Code:
                 near = np.flatnonzero(a - down[0] >= needed)
                 counts = np.searchsorted(down, a[near] - needed, side="right")
                 total = int(counts.sum())
-                if total >= min(least, size * size):
+                if total >= min(least, len(self.words[0]) * size):
                     break
                 needed -= 0.1 / vectors.shape[1] ** 0.5
             steps = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
-            found.append(np.sort(np.repeat(near, counts) * size + by[steps]))
+            found.append(np.sort(np.repeat(near, counts) * size + by[steps]).astype(np.int32))
         return found
 
 
@@ -86,16 +87,23 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        packed = []
-        for value in batch.column(1):
-            vector = usable(value.as_py())
-            packed.append(None if vector is None else (vector + 0.0).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["vec_id", "vector"])
+def _read(kind: np.dtype):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = []
+            for value in batch.column(1):
+                vector = usable(value.as_py())
+                packed.append(None if vector is None else (vector + 0.0).astype(kind).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["vec_id", "vector"])
+
+    return read
+
+
+def _unpacked(packed: list[bytes], kind: np.dtype) -> np.ndarray:
+    return unit(np.stack([np.frombuffer(p, dtype=kind) for p in packed]).astype(np.float64))
 
 
-def memberships(classes: DataFrame, threshold: float, code_words: int) -> DataFrame:
+def memberships(classes: DataFrame, kind: np.dtype, threshold: float, code_words: int) -> DataFrame:
     """``classes`` (class, copies, vector) with ``caps``: the caps of each vector, among those of its dimension."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,16 +111,17 @@ def memberships(classes: DataFrame, threshold: float, code_words: int) -> DataFr
         for batch in batches:
             packed = batch.column(2).to_pylist()
             caps: list[np.ndarray | None] = [None] * len(packed)
-            sizes = np.array([len(p) // 8 for p in packed])
+            sizes = np.array([len(p) // kind.itemsize for p in packed])
             for size in np.unique(sizes):
-                code = codes.setdefault(int(size), Code.of(int(size), code_words)) if size not in codes else codes[int(size)]
+                if size not in codes:
+                    codes[size] = Code.of(int(size), code_words)
                 at = np.flatnonzero(sizes == size)
-                for i, found in zip(at, code.caps(unit(np.stack([np.frombuffer(packed[i]) for i in at])), threshold), strict=True):
+                for i, found in zip(at, codes[size].caps(_unpacked([packed[i] for i in at], kind), threshold), strict=True):
                     caps[i] = found
-            arrays = [*batch.columns, pa.array(caps, pa.list_(pa.int64()))]
+            arrays = [*batch.columns, pa.array(caps, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["class", "copies", "vector", "caps"])
 
-    return classes.mapInArrow(decode, "class long, copies long, vector binary, caps array<long>")
+    return classes.mapInArrow(decode, "class long, copies long, vector binary, caps array<int>")
 
 
 @dataclass
@@ -161,13 +170,12 @@ class Group:
         return met[np.searchsorted(rows, a), np.searchsorted(rows, b)]
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[Group]:
+def _groups(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[Group]:
     """Consecutive rows with equal cap, size and parts; rows arrive sorted by these."""
     key, rows = None, []
 
     def built() -> Group:
-        sizes = key[0]
-        vectors = unit(np.stack([np.frombuffer(r["vector"]) for r in rows])) if sizes else np.zeros((0, 0))
+        vectors = _unpacked([r["vector"] for r in rows], kind)
         return Group(key[1], np.array([r["class"] for r in rows]), np.array([r["copies"] for r in rows]), vectors, [np.array(r["caps"]) for r in rows], np.array([r["part"] for r in rows]))
 
     for batch in batches:
@@ -182,9 +190,9 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[Group]:
         yield built()
 
 
-def _compare(min_cosine: float):
+def _compare(min_cosine: float, kind: np.dtype):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches):
+        for group in _groups(batches, kind):
             counts, label = group.links(min_cosine)
             linked = (counts > 0) | (label != group.classes)
             if linked.any():
@@ -214,16 +222,18 @@ def near_duplicates(
     component. Repeated rows are copies of each other; a null ``vec_id`` links and is never a component's id unless
     all are null (then null, and ``kept`` is true). ``class`` is a 64-bit hash of the vector.
     """
-    slim = vectors.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(_read, "vec_id long, vector binary")
+    # Single-precision vectors stay so on the way; all arithmetic is in double precision.
+    kind = np.dtype("f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "f8")
+    slim = vectors.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(_read(kind), "vec_id long, vector binary")
     rows = checkpointed(slim.withColumn("class", F.xxhash64("vector")))
     good = rows.where("vector IS NOT NULL")
     classes = good.groupBy("class", "vector").agg(F.count("*").alias("copies"), F.min("vec_id").alias("first_id"))
-    known = checkpointed(memberships(classes.select("class", "copies", "vector"), threshold, code_words))
-    placed = known.select("class", (F.octet_length("vector") / 8).cast("int").alias("size"), F.explode("caps").alias("cap"))
+    known = checkpointed(memberships(classes.select("class", "copies", "vector"), kind, threshold, code_words))
+    placed = known.select("class", (F.octet_length("vector") / kind.itemsize).cast("int").alias("size"), F.explode("caps").alias("cap"))
     crowded = placed.groupBy("size", "cap").agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
     parts = F.ceil(F.col("rows") / part_rows).cast("int")
     member = (
-        known.select("class", "copies", "vector", "caps", (F.octet_length("vector") / 8).cast("int").alias("size"), F.explode("caps").alias("cap"))
+        known.select("class", "copies", "vector", "caps", (F.octet_length("vector") / kind.itemsize).cast("int").alias("size"), F.explode("caps").alias("cap"))
         .join(crowded.select("size", "cap", parts.alias("parts")), ["size", "cap"])
         .withColumn("part", F.pmod(F.xxhash64("class", F.lit("part")), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -232,7 +242,7 @@ def near_duplicates(
     )
     sorted_rows = member.repartition("size", "cap", "low", "high").sortWithinPartitions("size", "cap", "low", "high")
     found = sorted_rows.select("size", "cap", "low", "high", "part", "class", "copies", "vector", "caps").mapInArrow(
-        _compare(min_cosine), "class long, links long, component long"
+        _compare(min_cosine, kind), "class long, links long, component long"
     )
     found = checkpointed(found)
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
