@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +29,6 @@ WINDOWS = 256
 
 _WIDEST = max(WIDTHS)
 _STRIDE = WINDOW - _WIDEST + 1
-_LETTER = re.compile(r"[^\W\d_]")
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -158,7 +156,7 @@ def has_letter(text: bytes) -> bool:
     """Whether any character of the text is a letter of some script."""
     if text[:64].translate(_LOWER).strip(bytes(set(range(256)) - set(range(97, 123)))):
         return True
-    return any(_LETTER.search(text[i : i + 4096].decode("utf-8", "ignore")) for i in range(0, len(text), 4090))
+    return any(c.isalpha() for i in range(0, len(text), 4090) for c in text[i : i + 4096].decode("utf-8", "ignore"))
 
 
 def identify(texts: list[bytes], net: Network) -> tuple[list[str], list[float]]:
