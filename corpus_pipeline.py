@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.llm import decontaminate, line_dedup, mixing, simhash, toxicity
-from sheaf.llm.components import checkpoint_folder
 from sheaf.llm.text import doc_hash, unused_name
+from sheaf.plans.staging import shared_folder
 
 #: Labels of documents whose CRC-32 leaves this remainder stay unseen, as in the query op7_toxicity.
 FOLDS, HELD_OUT = 4, 2
@@ -62,7 +62,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{checkpoint_folder(spark).rstrip('/')}/corpus-{uuid.uuid4()}"
+    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4()}"
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)

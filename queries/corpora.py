@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.sources.splits import at_least_parallel
+from sheaf.sources.splits import spread_rows
 
 # Rows of a listing.
 DOCS_PER_LISTING = 50
@@ -67,7 +67,7 @@ def variant() -> Column:
 
 def embedded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, repo, url_pos, url, content)``: one HTML page per document, with its whole text."""
-    docs = at_least_parallel(
+    docs = spread_rows(
         table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     )
     ident = text("doc-", F.col("doc_id"))
@@ -187,7 +187,7 @@ def nested_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def standalone_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(c_custkey, repo, url_pos, url, content)``: JSON documents, good and bad by key."""
-    rows = at_least_parallel(
+    rows = spread_rows(
         table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     )
     key = F.col("c_custkey")
@@ -233,7 +233,7 @@ def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses to :func:`event_requests`: errors by type and key, every 13th never landed."""
+    """``(event_id, url, status, body, net_error)``: a response to each event, with errors by type and key."""
     rows = table(spark, sf_dir, "events").select("event_id", "event_type", "props", "ts")
     event = F.col("event_id")
     failed = F.col("event_type") == "error"
@@ -248,7 +248,8 @@ def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         text("https://api.example.org/event/", event)
     )
     hot = event % 3 == 0
-    return rows.where(event % 13 != 1).select(
+    return rows.select(
+        "event_id",
         url.alias("url"),
         F.when(hot, 200).otherwise(status).cast("int").alias("status"),
         F.when(hot, F.encode(F.lit("hot"), "utf-8")).otherwise(
@@ -258,6 +259,11 @@ def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What landed of :func:`event_responses`: every 13th never did."""
+    return event_responses(spark, sf_dir).where(F.col("event_id") % 13 != 1).drop("event_id")
+
+
 # --- records for the split and the reshape ----------------------------------------------------------
 
 
@@ -304,16 +310,18 @@ def json_list(count: Column, member) -> Column:
     return text("[", F.array_join(F.transform(numbers, member), ","), "]")
 
 
-def fanout_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fanout_records(spark: SparkSession, sf_dir: str, repaired: Column | None = None) -> DataFrame:
     """Records from parts with 0 to 3 titles, descriptions and licences, some lists absent.
 
-    A record without doi and id (every sixth, from 3 on) cannot be reshaped.
+    A record without doi and id (every sixth, from 3 on) cannot be reshaped; those that are ``repaired`` have a doi.
     """
-    rows = at_least_parallel(
+    rows = spread_rows(
         table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_size")
     )
     key = F.col("p_partkey")
     doi = F.when(key % 3 != 0, F.when(key % 17 == 0, "null").otherwise(text('"10.4126/', key, '"')))
+    if repaired is not None:
+        doi = F.when(repaired & (key % 6 == 3), text('"10.4126/', key, '"')).otherwise(doi)
     inner = F.when(key % 2 == 0, text('"frl:', key, '"'))
     titles = F.when(
         key % 20 != 0, json_list(key % 4, lambda i: text('"title ', key, ".", i, '"'))
@@ -345,7 +353,7 @@ def fanout_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def people_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records from orders whose creator is the customer and whose terms follow the key."""
-    orders = at_least_parallel(
+    orders = spread_rows(
         table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
@@ -401,8 +409,8 @@ def _answer(url: Column, body: Column, status: Column | None = None) -> list[Col
     ]
 
 
-def crawl_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Catalog and responses: one repository per range of documents, crawled by sitemap.
+def crawl_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Catalog, responses to listings, and to pages: one repository per range of documents, crawled by sitemap.
 
     By number of the repository modulo 10: 6 has a page that fails with a server error, 7 a listing
     that is not found, 8 a listing that is cut off, 9 no extractor.
@@ -439,18 +447,17 @@ def crawl_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
         F.when(part % 10 != 9, "embedded_jsonld").alias("metadata"),
         F.lit(True).alias("commit"),
     )
-    return repos, listed.unionByName(paged)
+    return repos, listed, paged
 
 
 def inline_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Catalog and responses: one repository per range of parts, whose listing holds the records.
 
-    Repositories with an even number leave out the records that cannot be reshaped.
+    All records of repositories with an even number can be reshaped.
     """
-    records = fanout_records(spark, sf_dir)
-    records = records.withColumn("part", block_range("p_partkey", PARTS_PER_LISTING))
+    part = block_range("p_partkey", PARTS_PER_LISTING)
+    records = fanout_records(spark, sf_dir, repaired=part % 2 == 0).withColumn("part", part)
     part = F.col("part")
-    records = records.where((part % 2 == 1) | (F.col("p_partkey") % 6 != 3))
     listing_url = text("https://records.example.org/", part)
     listed = joined(records, "part", "p_partkey", F.col("entry"), ",").select(
         *_answer(listing_url, F.encode(text("[", F.col("listing"), "]"), "utf-8"))

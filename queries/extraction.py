@@ -9,28 +9,30 @@ from queries.registry import query
 from sheaf.functions.html import jsonld_blocks
 from sheaf.functions.json import with_records
 from sheaf.operators.extract import dead_letters, extract_by_key, flatten_entries
-from sheaf.sources.splits import at_least_parallel
+from sheaf.sources.splits import spread_rows
 
 ESCAPED_SQL = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 BAD_SQL = f"'{{\"@id\": doc-' || doc_id || ', ' || {ESCAPED_SQL}"
 DATASET = "`@id` STRING, name STRING, description STRING"
 
 
+FIRST_SQL = """replace('{"@context":"https://schema.org","@type":"Dataset","@id":"doc-' || doc_id || '","name":"' || lang || ' ' || doc_id
+|| '","description":' || to_json(text)::VARCHAR || '}', '</', '<\\/')"""
+SECOND_SQL = """('{"@context":"https://schema.org","@type":"Dataset","@id":"doc-' || doc_id || '-b","name":"' || lang || ' ' || doc_id || ' b"}')"""
+
+
 @query(f"""
-SELECT doc_id,
-       CASE WHEN v IN (0, 7) THEN 0 WHEN v IN (4, 5) THEN 2 ELSE 1 END::BIGINT AS n_blocks,
-       CASE WHEN v = 1 THEN {BAD_SQL} WHEN v = 3 THEN ' ' || chr(10) || ' '
-            WHEN v = 5 THEN '{{"@id":"doc-' || doc_id || '"}}' END AS first_block
-FROM (SELECT *, {VARIANT_SQL} AS v FROM documents)
+SELECT doc_id, unnest(range(len(blocks)))::BIGINT AS block_pos, unnest(blocks) AS block
+FROM (SELECT doc_id, CASE v WHEN 1 THEN [{BAD_SQL}] WHEN 2 THEN ['[' || {FIRST_SQL} || ',' || chr(10) || {SECOND_SQL} || ']']
+        WHEN 3 THEN [' ' || chr(10) || ' '] WHEN 4 THEN [{FIRST_SQL}, {SECOND_SQL}]
+        WHEN 5 THEN ['{{"@id":"doc-' || doc_id || '"}}', {BAD_SQL}]
+        WHEN 0 THEN [] WHEN 7 THEN [] ELSE [{FIRST_SQL}] END AS blocks
+      FROM (SELECT *, {VARIANT_SQL} AS v FROM documents))
 """)
 def jsonld_raw_blocks(spark, sf_dir):
     pages = embedded_pages(spark, sf_dir).withColumn("blocks", jsonld_blocks(F.col("content")))
-    first = F.get("blocks", F.lit(0))
-    return pages.select(
-        "doc_id",
-        F.size("blocks").cast("bigint").alias("n_blocks"),
-        F.when(~first.rlike('^\\[|"@context"'), first).alias("first_block"),
-    )
+    blocks = pages.select("doc_id", F.posexplode("blocks").alias("block_pos", "block"))
+    return blocks.withColumn("block_pos", F.col("block_pos").cast("bigint"))
 
 
 ENTRIES_SQL = f"""
@@ -129,7 +131,7 @@ SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber,
 FROM lineitem
 """)
 def canonical_json(spark, sf_dir):
-    lines = at_least_parallel(
+    lines = spread_rows(
         table(spark, sf_dir, "lineitem").select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate"
         )

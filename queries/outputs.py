@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import UTC, datetime
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from queries.corpora import (
@@ -10,6 +14,7 @@ from queries.corpora import (
     PARTS_PER_LISTING,
     VARIANT_SQL,
     crawl_inputs,
+    fanout_records,
     inline_inputs,
     publisher_records,
     split_inputs,
@@ -18,15 +23,18 @@ from queries.corpora import (
 )
 from queries.registry import query
 from queries.reshaping import FANOUT_SQL
+from sheaf.operators.reshape import reshape
+from sheaf.operators.routing import split_by_publisher
 from sheaf.plans.harvest import (
     final_report,
     harvest,
     output_files,
     route_outputs,
 )
-from sheaf.plans.staging import Stage
 from sheaf.sinks.documents import document_lines
-from sheaf.sinks.snapshots import snapshot_rows
+from sheaf.plans.staging import checkpointed, remove, shared_folder
+from sheaf.sinks.snapshots import RunFailed, publish, read_snapshot, read_snapshots, snapshot_rows
+from sheaf.sources.responses import read_responses
 
 
 @query("""
@@ -68,8 +76,53 @@ FROM (SELECT *, c_mktsegment || '.json' AS file_name, c_custkey AS url_pos FROM
 """)
 def document_text(spark, sf_dir):
     records = publisher_records(spark, sf_dir)
-    outputs = records.withColumn("file_name", text(F.col("repo"), ".json")).drop("repo")
-    return document_lines(outputs).select("file_name", "url_pos", "value")
+    outputs = records.withColumn("file_name", text(F.col("repo"), ".json"))
+    return document_lines(outputs, indent=2).select("file_name", "url_pos", "value")
+
+
+@query("""
+WITH split AS (SELECT 'openagrar-' || c_custkey % 2 AS repo,
+        CASE WHEN c_custkey % 7 < 4 THEN 'thunen_atlas' ELSE 'openagrar' END || '.json' AS file_name, c_custkey AS url_pos,
+        '{"name":"' || c_name || '"' || CASE c_custkey % 7 WHEN 5 THEN ',"publisher":{"url":null}' WHEN 6 THEN ''
+          ELSE ',"publisher":{"name":"' || CASE c_custkey % 7 WHEN 0 THEN 'Johann Heinrich von Thünen-Institut'
+            WHEN 1 THEN 'THUENEN INSTITUTE' WHEN 2 THEN 'thünen-atlas, Braunschweig' WHEN 3 THEN 'THÜNEN INSTITUT'
+            ELSE 'Thunen Institute' END || '"}' END || ',"id":' || c_custkey || '}' AS entry FROM customer)
+SELECT repo, file_name, url_pos,
+       CASE WHEN url_pos = min(url_pos) OVER file THEN '[' || chr(10) ELSE '' END || entry
+       || CASE WHEN url_pos = max(url_pos) OVER file THEN chr(10) || ']' ELSE ',' END AS value
+FROM split WINDOW file AS (PARTITION BY repo, file_name)
+UNION ALL
+SELECT DISTINCT 'openagrar-none', name || '.json', NULL::BIGINT, '[]' FROM customer, (VALUES ('thunen_atlas'), ('openagrar')) AS t(name)
+""")
+def split_documents(spark, sf_dir):
+    # Two repositories share the split's file names; a third has no entries.
+    records = publisher_records(spark, sf_dir).withColumn("repo", text("openagrar-", F.col("url_pos") % 2))
+    split = split_by_publisher(records).withColumn("file_name", text(F.col("target"), ".json")).drop("target")
+    names = split.select("file_name").distinct()
+    files = split.select("repo", "file_name").unionByName(names.select(F.lit("openagrar-none").alias("repo"), "file_name"))
+    return document_lines(split, files).select("repo", "file_name", "url_pos", "value")
+
+
+@query(f"""
+SELECT 'publisso-' || k % 2 AS repo, count(*)::BIGINT AS n_lines, 1::BIGINT AS n_open, 1::BIGINT AS n_close,
+       (count(*) - 1)::BIGINT AS n_commas, count(*)::BIGINT AS n_entries
+FROM ({FANOUT_SQL}) WHERE k % 6 <> 3 GROUP BY 1
+""")
+def reshape_documents(spark, sf_dir):
+    records = fanout_records(spark, sf_dir).withColumn("repo", text("publisso-", F.col("url_pos") % 2))
+    lines = document_lines(reshape(records, "drop").withColumn("file_name", F.lit("publisso.json")))
+    entry = F.btrim("value", F.lit("[],\n"))
+
+    def times(condition):
+        return F.sum(condition.cast("bigint"))
+
+    return lines.groupBy("repo").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        times(F.col("value").startswith("[\n")).alias("n_open"),
+        times(F.col("value").endswith("\n]")).alias("n_close"),
+        times(F.col("value").endswith(",")).alias("n_commas"),
+        times(F.try_parse_json(entry).isNotNull()).alias("n_entries"),
+    )
 
 
 CRAWL_SQL = f"""
@@ -90,15 +143,10 @@ def _report(report):
     return report.select(*positions, "repo_name", "valid_entries", "failed_entries", "skipped")
 
 
-def landed(spark, inputs):
-    """Catalog and responses as tables, the form in which a harvest gets them."""
-    stage = Stage(spark)
-    return [stage(df, name) for df, name in zip(inputs, ("repos", "responses"), strict=True)]
-
-
 @query(CRAWL_SQL)
 def harvest_crawl(spark, sf_dir):
-    done = harvest(*landed(spark, crawl_inputs(spark, sf_dir)), unique_urls=True)
+    repos, listed, paged = crawl_inputs(spark, sf_dir)
+    done = harvest(repos, paged, unique_urls=True, listing_responses=listed)
     return _report(final_report(done.reports, done.entries))
 
 
@@ -107,9 +155,8 @@ WITH rows AS (SELECT k, k // {PARTS_PER_LISTING} AS part FROM ({FANOUT_SQL})),
 bad AS (SELECT p_partkey // {PARTS_PER_LISTING} AS part, min(p_partkey) AS first_bad FROM part
         WHERE p_partkey % 6 = 3 AND p_partkey // {PARTS_PER_LISTING} % 2 = 1 GROUP BY 1),
 counts AS (SELECT rows.part, count(*) AS n FROM rows LEFT JOIN bad USING (part)
-           WHERE k % 6 <> 3 AND (first_bad IS NULL OR k < first_bad) GROUP BY 1),
-own AS (SELECT p_partkey // {PARTS_PER_LISTING} AS part, count(*) AS n FROM part
-        WHERE p_partkey // {PARTS_PER_LISTING} % 2 = 1 OR p_partkey % 6 <> 3 GROUP BY 1)
+           WHERE (k % 6 <> 3 OR part % 2 = 0) AND (first_bad IS NULL OR k < first_bad) GROUP BY 1),
+own AS (SELECT p_partkey // {PARTS_PER_LISTING} AS part, count(*) AS n FROM part GROUP BY 1)
 SELECT 'publisso-' || part AS repo, 'publisso-' || part || '.json' AS file_name, false AS published,
        n::BIGINT AS row_count FROM own
 UNION ALL
@@ -117,9 +164,9 @@ SELECT 'publisso-' || part, 'publisso.json', true, coalesce(counts.n, 0)::BIGINT
 FROM own LEFT JOIN counts USING (part)
 """)
 def harvest_inline(spark, sf_dir):
-    repos, responses = landed(spark, inline_inputs(spark, sf_dir))
-    done = harvest(repos, responses)
-    outputs = route_outputs(done.entries, stage=Stage(spark))
+    done = harvest(*(inputs := inline_inputs(spark, sf_dir)))
+    repos = inputs[0]
+    outputs = route_outputs(done.entries)
     files = output_files(done.reports, repos, outputs)
     return files.select("repo", "file_name", "published", "row_count")
 
@@ -138,5 +185,68 @@ UNION ALL
 SELECT DISTINCT part, 0, 'openagrar-' || part, 0, 0, true FROM pages WHERE part % 9 = 8
 """)
 def harvest_split(spark, sf_dir):
-    done = harvest(*landed(spark, split_inputs(spark, sf_dir)))
+    done = harvest(*split_inputs(spark, sf_dir))
     return _report(final_report(done.reports, done.entries))
+
+
+@query(f"""
+WITH docs AS (SELECT *, doc_id // {DOCS_PER_LISTING} AS part, doc_id % {DOCS_PER_LISTING} AS within, {VARIANT_SQL} AS v FROM documents),
+parts AS (SELECT part, part % 10 = 6 AND bool_or(within = 3) AS lost FROM docs GROUP BY part)
+SELECT 'repo-' || part AS repo, 'listing: repo' AS scope, CASE WHEN part % 10 = 7 THEN 'response' ELSE 'malformed' END AS outcome,
+       NULL::BIGINT AS within
+FROM parts WHERE part % 10 IN (7, 8)
+UNION ALL
+SELECT 'repo-' || part, 'repo', 'technical', NULL FROM parts WHERE lost
+UNION ALL
+SELECT 'repo-' || part, 'dataset', CASE within WHEN 4 THEN 'response' WHEN 5 THEN 'decode' ELSE 'parse' END, within
+FROM docs JOIN parts USING (part) WHERE part % 10 < 7 AND NOT lost AND (within IN (4, 5) OR v IN (1, 3, 5))
+""")
+def drop_causes(spark, sf_dir):
+    repos, listed, paged = crawl_inputs(spark, sf_dir)
+    letters = harvest(repos, paged, unique_urls=True, listing_responses=listed).dead_letters
+    return letters.select("repo", "scope", "outcome", F.col("url_pos").cast("bigint").alias("within"))
+
+
+@query("""
+SELECT 'kept-' || n AS file_name, s_suppkey AS item, '{"id":' || s_suppkey || '}' AS entry, 2::BIGINT AS versions
+FROM (SELECT s_suppkey, s_suppkey % 5 AS n FROM supplier)
+""")
+def publish_runs(spark, sf_dir):
+    # Two runs are published and one fails: readers see the two, and the entries of the last.
+    root = f"{shared_folder(spark)}/publish-{uuid.uuid4()}"
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey")
+    outputs = rows.select(
+        F.lit("r").alias("repo"),
+        text("kept-", F.col("s_suppkey") % 5).alias("file_name"),
+        F.col("s_suppkey").alias("url_pos"),
+        text('{"id":', F.col("s_suppkey"), "}").alias("entry"),
+    )
+    files = outputs.groupBy("repo", "file_name").agg(F.count(F.lit(1)).alias("row_count")).withColumns({"url": F.lit("http://r"), "published": F.lit(True)})
+    landed = outputs.select(text("http://r/", F.col("url_pos")).alias("url"), F.lit(200).alias("status"), F.encode("entry", "utf-8").alias("body"), F.lit(None).cast("string").alias("net_error"))
+    try:
+        landed.write.parquet(f"{root}/landed")
+        again = read_responses(spark, f"{root}/landed").select(F.decode("body", "utf-8").alias("entry"))
+        fine = spark.createDataFrame([], "problem string")
+        for day, errors in ((1, fine), (2, spark.createDataFrame([("bad",)], "problem string")), (3, fine)):
+            try:
+                publish(outputs, files, errors, f"{root}/versions", datetime(2024, 1, day, tzinfo=UTC))
+            except RunFailed:
+                continue
+        names = read_snapshots(spark, f"{root}/versions").groupBy("file_name").agg(F.count(F.lit(1)).alias("versions"))
+        last = [read_snapshot(spark, f"{root}/versions", datetime(2024, 1, 3, tzinfo=UTC), f"kept-{n}") for n in range(5)]
+        seen = reduce(lambda a, b: a.unionByName(b), last).join(again, "entry", "left_semi").join(names, "file_name")
+        return checkpointed(seen.select("file_name", F.col("url_pos").alias("item"), "entry", "versions"))
+    finally:
+        remove(spark, root)
+
+
+@query(f"""
+SELECT 'publisso' AS repo_name, 'publisso-' || part AS listed_as, count(*)::BIGINT AS valid_entries, 0::BIGINT AS failed_entries, false AS skipped
+FROM (SELECT p_partkey // {PARTS_PER_LISTING} AS part FROM part) GROUP BY part
+""")
+def reshape_reports(spark, sf_dir):
+    repos, responses = inline_inputs(spark, sf_dir)
+    done = harvest(repos, responses)
+    report = final_report(done.reports, done.entries)
+    names = repos.select("repo_pos", F.col("name").alias("listed_as"))
+    return report.join(names, "repo_pos").select("repo_name", "listed_as", "valid_entries", "failed_entries", "skipped")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from queries.corpora import VARIANT_SQL, event_requests, event_responses, publisher_records, table, text
+from queries.corpora import VARIANT_SQL, event_requests, landed_events, publisher_records, table, text
 from queries.extraction import extracted_pages
 from queries.fetching import REQUESTS_SQL
 from queries.registry import query
@@ -18,7 +18,6 @@ from sheaf.operators.reports import (
     run_report,
 )
 from sheaf.operators.routing import publisher_name, route_of, split_by_publisher, split_reports
-from sheaf.operators.spread import join_per_key
 
 
 @query(f"""
@@ -28,8 +27,8 @@ GROUP BY repo HAVING NOT bool_or(outcome = 'technical')
 def repo_abort(spark, sf_dir):
     requests = event_requests(spark, sf_dir)
     wanted = requests.select("repo", "url").distinct()
-    outcomes = fetch(wanted, landed_outcomes(event_responses(spark, sf_dir)), ["repo"])
-    kept = join_per_key(requests, aborted_repos(outcomes), "repo", ["url_pos"], "left_anti")
+    outcomes = fetch(wanted, landed_outcomes(landed_events(spark, sf_dir)))
+    kept = requests.join(aborted_repos(outcomes), "repo", "left_anti")
     return kept.groupBy("repo").agg(F.count(F.lit(1)).alias("n_urls"))
 
 
@@ -133,6 +132,4 @@ def split_report(spark, sf_dir):
     split = split_by_publisher(publisher_records(spark, sf_dir))
     segments = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("repo")).distinct()
     repos = segments.unionByName(segments.select(text("empty ", F.col("repo")).alias("repo")))
-    reports = split_reports(split, repos.withColumn("repo_pos", F.xxhash64("repo")))
-    names = repos.select("repo", F.xxhash64("repo").alias("repo_pos"))
-    return reports.join(names, "repo_pos").drop("repo_pos", "report_pos")
+    return split_reports(split, repos.withColumn("repo_pos", F.lit(0))).drop("repo_pos", "report_pos")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from queries.corpora import fanout_records, json_object, people_records, table, text
 from queries.registry import query
 from sheaf.operators.reshape import reshape
-from sheaf.sources.splits import at_least_parallel
+from sheaf.sources.splits import spread_rows
 
 THING = "`@id` STRING, `@type` STRING, name STRING"
 DATASET = f"""
@@ -205,7 +205,7 @@ FROM (SELECT p_partkey AS k FROM part)
 """)
 def reshape_nulls(spark, sf_dir):
     key = F.col("p_partkey")
-    rows = at_least_parallel(table(spark, sf_dir, "part").select("p_partkey"))
+    rows = spread_rows(table(spark, sf_dir, "part").select("p_partkey"))
     entry = json_object(
         ("doi", text('"10.2/', key, '"')),
         ("title", F.when(key % 3 == 0, text("[", key, "]")).when(key % 3 == 1, "[null]")),
@@ -234,12 +234,11 @@ SELECT part.* FROM part LEFT JOIN
 @query(f"""
 SELECT k AS p_partkey, p_brand AS repo, count(*)::BIGINT AS n_datasets
 FROM ({FANOUT_SQL}) JOIN ({TRUNCATED_SQL}) kept ON k = kept.p_partkey
-WHERE k % 6 <> 3 GROUP BY ALL
+WHERE k % 60 <> 33 GROUP BY ALL
 """.replace("p_brand AS repo", "kept.p_brand AS repo"))
 def reshape_truncate(spark, sf_dir):
-    # Of the records that cannot be reshaped only every tenth stays in.
-    key = F.col("p_partkey")
-    records = fanout_records(spark, sf_dir).where((key % 6 != 3) | (key % 60 == 33))
+    # One record in sixty cannot be reshaped.
+    records = fanout_records(spark, sf_dir, repaired=F.col("p_partkey") % 60 != 33)
     done = reshape(records, "truncate")
     return done.groupBy(F.col("url_pos").alias("p_partkey"), "repo").agg(
         F.count(F.lit(1)).alias("n_datasets")

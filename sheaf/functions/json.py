@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Number forms and escapes that VARIANT would print differently.
+# Number forms and escapes that VARIANT would print differently, and characters that it sorts by their UTF-16 units.
 _INEXACT = (
     r"(?:^|[:\[,])\s*-?[0-9]+(?:\.[0-9]|[eE]|[0-9]{29})"
     r"|\\u(?:00[01]|[dD][89a-fA-F])"
+    r"|[\x{10000}-\x{10FFFF}]"
 )
 # What a JSON text can start with, including the three literals only Python knows.
 _JSON_START = r'^[ \t\r\n]*["{\[0-9tfnNI-]'
@@ -54,11 +55,6 @@ def unsealed(parsed: Column, content: Column) -> Column:
     return F.when(whole, F.try_variant_get(parsed, "$[0]", "variant"))
 
 
-def members(value: Column) -> Column:
-    """A list's members; any other value as a list of one."""
-    return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array(value))
-
-
 def texts(values: Column) -> Column:
     return F.transform(values, lambda v: F.to_json(v))
 
@@ -228,3 +224,43 @@ def _blocks_of_pages(pages: pa.Array) -> pa.Array:
 
 
 _blocks_helper = _blocks_of_pages.asNondeterministic()
+
+
+def _per_text(function):
+    @F.arrow_udf(T.StringType())
+    def helper(texts: pa.Array) -> pa.Array:
+        if texts.null_count == len(texts):
+            return pa.nulls(len(texts), pa.string())
+        return pa.array([None if text is None else function(text) for text in texts.to_pylist()], pa.string())
+
+    return helper.asNondeterministic()
+
+
+_LIMITS = {"NaN": None, "Infinity": 1.7976931348623157e308, "-Infinity": -1.7976931348623157e308}
+
+
+def _finite(text: str) -> str:
+    return canonical(json.loads(text, parse_constant=_LIMITS.get))
+
+
+def _pruned(value: object) -> object:
+    if isinstance(value, dict):
+        return {k: _pruned(v) for k, v in value.items() if v is not None}
+    return [_pruned(v) for v in value if v is not None] if isinstance(value, list) else value
+
+
+def _null_free(text: str) -> str:
+    return storable(json.dumps(_pruned(json.loads(text)), ensure_ascii=False, separators=(",", ":")))
+
+
+# Canonical text with the constants that only Python knows replaced: NaN by null, infinities by the largest numbers.
+finite_text = _per_text(_finite)
+# The text without nulls in objects and lists at any depth; key order stays.
+null_free_text = _per_text(_null_free)
+
+_HAS_NULL = r"[:\[,]null[,\]}]"
+
+
+def may_hold_null(content: Column) -> Column:
+    """Whether a compact JSON text holds a null; a string that looks like one counts too."""
+    return content.rlike(_HAS_NULL)

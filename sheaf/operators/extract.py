@@ -35,16 +35,6 @@ def jsonld(df: DataFrame) -> DataFrame:
 EXTRACTORS: dict[str, Extractor] = {"embedded_jsonld": embedded_jsonld, "jsonld": jsonld}
 
 
-def extract(df: DataFrame, key: str, extractors: Mapping[str, Extractor] = EXTRACTORS) -> DataFrame:
-    """Run one extractor: replaces ``content`` by ``entries`` and ``raw``.
-
-    ``raw`` is kept for failed documents only, and is NULL for the others.
-    """
-    df = extractors[key](df)
-    failed = F.col("content").isNotNull() & F.col("entries").isNull()
-    return df.withColumn("raw", F.when(failed, F.col("raw"))).drop("content")
-
-
 def extract_all(
     landed: DataFrame, extractors: Mapping[str, Extractor] = EXTRACTORS
 ) -> DataFrame:
@@ -117,5 +107,28 @@ def dead_letters(pages: DataFrame) -> DataFrame:
     """Documents that gave no list, with the data that was suspicious if it was the parse."""
     failed = pages.where(F.col("outcome") != "ok")
     return failed.select(
-        "repo", "url_pos", "url", "outcome", F.array_join("raw", "").alias("suspicious_data")
+        "repo",
+        "url_pos",
+        "url",
+        "outcome",
+        F.lit("dataset").alias("scope"),
+        F.array_join("raw", "").alias("suspicious_data"),
+    )
+
+
+def lost_letters(lost: DataFrame) -> DataFrame:
+    """The URLs that dropped their repository, each as a letter without position."""
+    return _letters(lost, F.lit("repo"))
+
+
+def listing_letters(listings: DataFrame) -> DataFrame:
+    """Listings that could not be fetched or read: the cause why their repository was skipped."""
+    failed = listings.where(F.col("scope").isNotNull())
+    return _letters(failed.withColumn("repo", F.col("name")).withColumn("outcome", F.col("cause")), F.concat(F.lit("listing: "), "scope"))
+
+
+def _letters(rows: DataFrame, scope: Column) -> DataFrame:
+    nothing = F.lit(None)
+    return rows.select(
+        "repo", nothing.cast("int").alias("url_pos"), "url", "outcome", scope.alias("scope"), nothing.cast("string").alias("suspicious_data")
     )

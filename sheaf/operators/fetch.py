@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.charsets import decoded_text
 from sheaf.functions.urls import request_key, url_scheme
-from sheaf.operators.spread import HOT_ROWS, join_hot_key
 from sheaf.sources.responses import latest_by_url
 
 LISTING, DATASET = "listing", "dataset"
@@ -83,11 +82,13 @@ def landed_texts(responses: DataFrame, client_error_scope: str = DATASET) -> Dat
     )
 
 
-def fetch(
-    requests: DataFrame, landed: DataFrame, spread_by: list[str], hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """One outcome per requested position; ``landed`` is unique by URL and has an ``outcome``."""
+def fetch(requests: DataFrame, landed: DataFrame) -> DataFrame:
+    """One outcome per requested position; ``landed`` is unique by URL and has an ``outcome``.
+
+    A URL that a large share of all rows asks for makes a large partition of the requests; AQE cuts it by its measured
+    bytes and copies the one landed row, so the plan sets no threshold of its own.
+    """
     requests = requests.withColumn("_key", request_key(F.col("url")))
     landed = landed.withColumnRenamed("url", "_key")
-    df = join_hot_key(requests, landed, "_key", spread_by, hot_rows).drop("_key")
+    df = requests.join(landed, "_key", "left").drop("_key")
     return df.withColumn("outcome", url_outcome(F.col("url"), F.col("outcome")))

@@ -135,7 +135,7 @@ def parse_listings(
     """Parse each row's ``content`` with the parser its ``sitemap`` key names.
 
     Adds ``urls``, ``items``, ``mode`` (``inline``, ``crawl``, or ``none`` where nothing can be
-    followed) and ``scope`` (``repo``, ``run`` or NULL), and drops ``content``. If the frame has an
+    followed), ``scope`` (``repo``, ``run`` or NULL) and its ``cause``, and drops ``content``. If the frame has an
     ``outcome``, rows that were not fetched keep that error.
     """
     outcome = F.col("outcome") if "outcome" in listings.columns else F.lit("ok")
@@ -163,7 +163,7 @@ def parse_listings(
         .when(F.col("urls").isNotNull() & has_extractor & ~extractor_known, "unknown_key")
         .otherwise("ok")
     )
-    df = df.withColumn("scope", error_scope(LISTING, result))
+    df = df.withColumn("cause", result).withColumn("scope", error_scope(LISTING, F.col("cause")))
     good = F.col("scope").isNull()
     mode = (
         F.when(good & F.col("items").isNotNull(), "inline")
@@ -171,7 +171,7 @@ def parse_listings(
         .otherwise("none")
     )
     kept = [c for c in listings.columns if c != "content"]
-    return df.withColumn("mode", mode).select(*kept, "urls", "items", "mode", "scope")
+    return df.withColumn("mode", mode).select(*kept, "urls", "items", "mode", "scope", "cause")
 
 
 def dataset_urls(parsed: DataFrame) -> DataFrame:

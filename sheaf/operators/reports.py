@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from sheaf.operators.fetch import DATASET, error_scope
 
 
+def lost_urls(outcomes: DataFrame) -> DataFrame:
+    """``(repo, url, outcome)`` of the unrecoverable URLs."""
+    return outcomes.where(error_scope(DATASET, F.col("outcome")) == "repo").select("repo", "url", "outcome")
+
+
 def aborted_repos(outcomes: DataFrame) -> DataFrame:
     """Repositories with at least one unrecoverable URL; one such URL drops the repository."""
-    lost = outcomes.where(error_scope(DATASET, F.col("outcome")) == "repo")
-    return lost.select("repo").distinct()
+    return lost_urls(outcomes).select("repo").distinct()
 
 
 def crawl_counts(pages: DataFrame) -> DataFrame:

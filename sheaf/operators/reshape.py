@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.binding import bound
-from sheaf.operators.spread import join_per_key
+from sheaf.functions.json import finite_text, may_hold_null, null_free_text
+
+POSITIONS = ("url_pos", "item_pos", "title_pos", "description_pos", "license_pos")
 
 # Fixed values of the target vocabulary and of the source's identifiers.
 DOI_PREFIX = "https://doi.org/"
@@ -72,9 +74,11 @@ def _not_keyed(member: Column) -> Column:
 
 def parsed_fields(records: DataFrame) -> DataFrame:
     """Replace ``entry`` by one VARIANT column per source field (``v_``) and per list (``l_``)."""
-    df = records.withColumn(
-        "_record", F.when(F.col("entry").startswith("{"), F.try_parse_json("entry"))
-    )
+    is_object = F.col("entry").startswith("{")
+    df = bound(records, {"_native": F.when(is_object, F.try_parse_json("entry"))})
+    # VARIANT refuses NaN and infinities, which a record may hold in a field that isn't even read.
+    df = df.withColumn("_finite", finite_text(F.when(is_object & F.col("_native").isNull(), F.col("entry"))))
+    df = df.withColumn("_record", F.coalesce("_native", F.try_parse_json("_finite"))).drop("_native", "_finite")
     names = (*_SCALARS, *_FIRST_ONLY, *_PLAIN_LISTS, *_OBJECT_LISTS)
     values = {f"v_{name}": _key(F.col("_record"), name) for name in names}
     df = bound(df, values, drop=("_record", "entry"))
@@ -344,16 +348,16 @@ def reshape(
         if stage is not None:
             first = stage(first, "first_failures")
         position = F.struct("url_pos", "item_pos")
-        df = join_per_key(records, first, "repo", ["url_pos", "item_pos"], "left")
+        df = records.join(first, "repo", "left")
         df = df.where(F.col("first_failure").isNull() | (position <= F.col("first_failure")))
         df = with_dataset_fields(with_errors(parsed_fields(df.drop("first_failure"))))
         df = bound(df, {c: _before_failure(c) for c in ("titles", "descriptions", "licences")})
     df = fan_out(df.drop("failed", "good_licences"))
     entry = F.to_json(F.struct(*(F.col(f"`{name}`") for name in DATASET_FIELDS)))
-    return df.select(
-        "repo", "url_pos", "item_pos", "title_pos", "description_pos", "license_pos",
-        entry.alias("entry"),
-    )
+    df = bound(df.select("repo", *POSITIONS, *(F.col(f"`{name}`") for name in DATASET_FIELDS)), {"entry": entry}, DATASET_FIELDS)
+    # Copied containers may hold nulls further down.
+    pruned = null_free_text(F.when(may_hold_null(F.col("entry")), F.col("entry")))
+    return df.select("repo", *POSITIONS, F.coalesce(pruned, "entry").alias("entry"))
 
 
 def _before_failure(choices: str) -> Column:

@@ -69,6 +69,7 @@ def split_reports(split: DataFrame, repos: DataFrame) -> DataFrame:
     )
     counts = split.groupBy("repo", "target").agg(F.count(F.lit(1)).alias("n"))
     return both.join(counts, ["repo", "target"], "left").select(
+        "repo",
         "repo_pos",
         (F.col("target") != SPLIT_TARGETS[0]).cast("int").alias("report_pos"),
         F.col("target").alias("repo_name"),

@@ -16,6 +16,8 @@ from sheaf.operators.extract import (
     dead_letters,
     extract_all,
     flatten_entries,
+    listing_letters,
+    lost_letters,
 )
 from sheaf.operators.fetch import DATASET, fetch, landed_outcomes, landed_texts, url_outcome
 from sheaf.operators.listings import (
@@ -25,7 +27,7 @@ from sheaf.operators.listings import (
     inline_entries,
     parse_listings,
 )
-from sheaf.operators.reports import aborted_repos, crawl_counts, harvest_reports, run_report
+from sheaf.operators.reports import crawl_counts, harvest_reports, lost_urls, run_report
 from sheaf.operators.reshape import reshape
 from sheaf.operators.routing import (
     RESHAPE_TARGET,
@@ -36,8 +38,7 @@ from sheaf.operators.routing import (
     split_by_publisher,
     split_reports,
 )
-from sheaf.operators.spread import HOT_ROWS, join_per_key, small
-from sheaf.plans.staging import Stage, unstaged
+from sheaf.plans.staging import unstaged
 from sheaf.sources.files import file_responses
 from sheaf.sources.responses import latest_by_url
 
@@ -52,7 +53,7 @@ class Harvest:
     pages: DataFrame  # one row per followed URL, with its entries
     entries: DataFrame  # repo, url_pos, item_pos, entry
     reports: DataFrame  # per repository, before routing
-    dead_letters: DataFrame  # URLs that gave nothing because of an error
+    dead_letters: DataFrame  # URLs that gave nothing because of an error, and how far it reached
     run_errors: DataFrame  # errors that forbid publishing
 
 
@@ -61,10 +62,11 @@ def fetch_listings(
 ) -> DataFrame:
     """Add ``outcome`` and ``content`` of each repository's listing.
 
-    Responses are first reduced to the listings, then joined, so the big table is not shuffled.
+    Responses are first reduced to the listings by a semi-join with the catalog, which is broadcast where the
+    optimiser knows or measures it to be small. Listings that are landed apart are best handed over apart.
     """
     repos = repos.withColumn("_key", request_key(F.col("url")))
-    wanted = small(repos.select(F.col("_key").alias("url")).distinct())
+    wanted = repos.select(F.col("_key").alias("url")).distinct()
     hits = responses.withColumn("url", request_key(F.col("url"))).join(wanted, "url", "left_semi")
     hits = latest_by_url(landed_texts(hits, client_error_scope), ["outcome", "content"])
     joined = repos.join(hits.withColumnRenamed("url", "_key"), "_key", "left").drop("_key")
@@ -79,25 +81,24 @@ def crawl(
     extractors: Mapping[str, Extractor] = EXTRACTORS,
     stage: Callable[[DataFrame, str], DataFrame],
     unique_urls: bool = False,
-    hot_rows: int = HOT_ROWS,
-) -> tuple[DataFrame, DataFrame]:
-    """Follow ``urls (repo, metadata, url_pos, url)``: the pages, and the repositories dropped.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Follow ``urls (repo, metadata, url_pos, url)``: the pages, the repositories dropped, and the URLs that did it.
 
     Which repositories drop out is settled on statuses alone, before any body is read.
     """
     requests = urls.select("repo", "url").distinct()
     statuses = landed_outcomes(responses, client_error_scope, unique_urls)
-    outcomes = fetch(requests, statuses, ["repo"], hot_rows)
-    aborted = stage(aborted_repos(outcomes), "aborted")
-    followed = join_per_key(urls, aborted, "repo", ["url_pos"], "left_anti")
+    lost = stage(lost_urls(fetch(requests, statuses)), "lost")
+    aborted = lost.select("repo").distinct()
+    followed = urls.join(aborted, "repo", "left_anti")
     results = [f"by_{key}" for key in extractors]
     landed = extract_all(landed_texts(responses, client_error_scope), extractors)
     if not unique_urls:
         landed = latest_by_url(landed, ["outcome", *results])
     landed = landed.select("url", "outcome", *results)
-    pages = choose_extractor(fetch(followed, landed, ["repo", "url_pos"], hot_rows), extractors)
+    pages = choose_extractor(fetch(followed, landed), extractors)
     pages = pages.select("repo", "url_pos", "url", "outcome", "entries", "raw")
-    return stage(pages, "pages"), aborted
+    return stage(pages, "pages"), aborted, lost
 
 
 def harvest(
@@ -109,29 +110,32 @@ def harvest(
     client_error_scope: str = DATASET,
     parsers: Mapping[str, Parser] = PARSERS,
     extractors: Mapping[str, Extractor] = EXTRACTORS,
-    stage: Callable[[DataFrame, str], DataFrame] | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] = unstaged,
     unique_urls: bool = False,
+    listing_responses: DataFrame | None = None,
 ) -> Harvest:
     """Harvest every repository of the catalog in one plan.
 
     ``files`` (see :func:`sheaf.sources.files.scan_files`) answers ``file:`` URLs. Set
     ``unique_urls`` if the responses hold every URL once: the entries are then not reduced by URL
-    before they meet the requests, which saves sorting all of them.
+    before they meet the requests, which saves sorting all of them. ``listing_responses`` answers the
+    listings if they are landed apart: no body of a page is then read to find them. ``stage`` (see
+    :class:`sheaf.plans.staging.Stage`) writes what several results read; without it all is one lazy plan.
     """
-    stage = stage or Stage(repos.sparkSession)
 
-    def answered(requests: DataFrame) -> DataFrame:
+    def answered(requests: DataFrame, landed: DataFrame) -> DataFrame:
         if files is None:
-            return responses
+            return landed
         local = file_responses(requests, files, base_dir)
-        return responses.unionByName(local, allowMissingColumns=True)
+        return landed.unionByName(local, allowMissingColumns=True)
 
-    fetched = fetch_listings(repos, answered(repos), client_error_scope)
+    lists = responses if listing_responses is None else listing_responses
+    fetched = fetch_listings(repos, answered(repos, lists), client_error_scope)
     listings = stage(parse_listings(fetched, parsers, tuple(extractors)), "listings")
     urls = dataset_urls(listings)
-    pages, aborted = crawl(
+    pages, aborted, lost = crawl(
         urls,
-        answered(urls),
+        answered(urls, responses),
         client_error_scope=client_error_scope,
         extractors=extractors,
         stage=stage,
@@ -146,7 +150,8 @@ def harvest(
     run_errors = run_errors.unionByName(
         bad_publishers(to_split).select("repo", F.lit("publisher of a wrong type").alias("problem"))
     )
-    return Harvest(listings, pages, entries, reports, dead_letters(pages), run_errors)
+    letters = dead_letters(pages).unionByName(lost_letters(lost)).unionByName(listing_letters(listings))
+    return Harvest(listings, pages, entries, reports, letters, run_errors)
 
 
 def route_outputs(

@@ -1,4 +1,4 @@
-"""JSON documents, one per output file, written as ordered part files."""
+"""JSON documents, one per repository and output file, written as ordered part files."""
 
 from __future__ import annotations
 
@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.json import storable
-from sheaf.operators.spread import join_per_key
 
 POSITION = ("url_pos", "item_pos", "title_pos", "description_pos", "license_pos")
+# Two repositories on one special route write files of the same name: a document belongs to both.
+FILE = ("repo", "file_name")
 
 
 def _position(df: DataFrame) -> list[str]:
@@ -23,42 +24,57 @@ def _ordered(df: DataFrame, partitions: int | None) -> DataFrame:
 
     The range bounds include the position, so a file with very many rows is cut into many parts.
     """
-    keys = ["file_name", *_position(df)]
+    keys = [*FILE, *_position(df)]
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     return ranged.sortWithinPartitions(*keys)
 
 
 def write_lines(outputs: DataFrame, path: str, partitions: int | None = None) -> None:
-    """One entry per line under ``path/file_name=<name>/``; parts in name order give the order.
+    """One entry per line under ``path/repo=<repo>/file_name=<name>/``; parts in name order give the order.
 
     A file without entries gets no folder.
     """
-    lines = _ordered(outputs, partitions).select("file_name", F.col("entry").alias("value"))
-    lines.write.partitionBy("file_name").mode("overwrite").text(path)
+    lines = _ordered(outputs, partitions).select(*FILE, F.col("entry").alias("value"))
+    lines.write.partitionBy(*FILE).mode("overwrite").text(path)
 
 
-def document_lines(outputs: DataFrame, indent: int = 2) -> DataFrame:
-    """Lines of one indented JSON array per file: concatenated in order they are the document."""
-    ends = outputs.groupBy("file_name").agg(
+def document_lines(
+    outputs: DataFrame, files: DataFrame | None = None, indent: int | None = None
+) -> DataFrame:
+    """Lines of one JSON array per repository and file: concatenated in order they are the document.
+
+    An entry is one compact line; with ``indent`` it is laid out over several, at the cost of a parse in Python.
+    ``files (repo, file_name)`` names the documents to expect: one without entries becomes ``[]``.
+    """
+    # One short row per file: a table whose size AQE measures before it chooses the join.
+    ends = outputs.groupBy(*FILE).agg(
         F.min(F.struct(*_position(outputs))).alias("first"),
         F.max(F.struct(*_position(outputs))).alias("last"),
     )
-    df = join_per_key(outputs, ends, "file_name", _position(outputs), "inner")
+    df = outputs.join(ends, list(FILE))
     here = F.struct(*_position(outputs))
     text = F.concat(
         F.when(here == F.col("first"), "[\n").otherwise(""),
-        _indented(indent)(F.col("entry")),
+        F.col("entry") if indent is None else _indented(indent)(F.col("entry")),
         F.when(here == F.col("last"), "\n]").otherwise(","),
     )
-    return df.withColumn("value", text).drop("first", "last", "entry")
+    lines = df.withColumn("value", text).drop("first", "last", "entry")
+    if files is None:
+        return lines
+    empty = files.select(*FILE).distinct().join(ends, list(FILE), "left_anti")
+    return lines.unionByName(empty.withColumn("value", F.lit("[]")), allowMissingColumns=True)
 
 
 def write_documents(
-    outputs: DataFrame, path: str, indent: int = 2, partitions: int | None = None
+    outputs: DataFrame,
+    path: str,
+    files: DataFrame | None = None,
+    indent: int | None = None,
+    partitions: int | None = None,
 ) -> None:
-    """Like :func:`write_lines`, but the parts of a file concatenate to one indented JSON array."""
-    lines = _ordered(document_lines(outputs, indent), partitions)
-    lines.select("file_name", "value").write.partitionBy("file_name").mode("overwrite").text(path)
+    """Like :func:`write_lines`, but the parts of a file concatenate to one JSON array."""
+    lines = _ordered(document_lines(outputs, files, indent), partitions)
+    lines.select(*FILE, "value").write.partitionBy(*FILE).mode("overwrite").text(path)
 
 
 def _indented(indent: int):

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from sheaf.schemas import REPOS
 
@@ -28,7 +30,9 @@ def repo_catalog(spark: SparkSession, records: Iterable[Mapping]) -> DataFrame:
         rows.append(
             (pos, *(record[field] for field in REQUIRED), record.get("metadata"), record.get("commit", True))
         )
-    return spark.createDataFrame(rows, REPOS)
+    # Handed over as an Arrow table, the catalog has a size that the optimiser knows: it broadcasts a small one by itself.
+    table = pa.Table.from_pylist([dict(zip(REPOS.names, row, strict=True)) for row in rows], to_arrow_schema(REPOS))
+    return spark.createDataFrame(table, REPOS)
 
 
 def catalog_table(table: DataFrame) -> DataFrame:

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def at_least_parallel(scan: DataFrame) -> DataFrame:
-    """Spread a scan of a few small files over all cores; leave every other scan as it is.
+def spread_rows(scan: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Deal rows out to ``tasks`` (``spark.sql.shuffle.partitions``), for work per row that costs far more than the shuffle.
 
-    Parsing a page costs far more than reading it, and a single small file would be parsed by a
-    single task. Large inputs have more splits than the cluster has cores and are not touched.
+    For inputs in a few small files, which would otherwise be worked on by as many tasks; the caller knows them.
     """
-    wanted = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan
+    return scan.repartition(tasks or int(scan.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -206,7 +206,13 @@ def test_entries_and_dead_letters(done):
     assert [(r.url_pos, r.item_pos, r.entry) for r in soil] == [
         (0, 0, first), (1, 0, '{"name":"b"}'), (1, 1, '{"c":[null],"name":"a","z":1}'), (3, 0, first)
     ]
-    letters = {(r.repo, r.url_pos): (r.outcome, r.suspicious_data) for r in done.dead_letters.collect()}
+    rows = done.dead_letters.collect()
+    causes = {r.repo: (r.scope, r.outcome) for r in rows if r.scope != "dataset"}
+    assert causes["broken"] == ("listing: repo", "malformed")
+    assert {k: v[1] for k, v in causes.items()} == {
+        "broken": "malformed", "down": "technical", "lost": "technical", "odd": "argument"
+    }
+    letters = {(r.repo, r.url_pos): (r.outcome, r.suspicious_data) for r in rows if r.scope == "dataset"}
     assert letters == {
         ("soil", 2): ("response", None), ("soil", 4): ("parse", "{"), ("openagrar_native", 2): ("parse", "not json"),
     }
@@ -224,13 +230,16 @@ def test_outputs(spark, inputs, done, tmp_path):
         ("publisso_native", "publisso_native.json", False, 4),
         ("publisso_native", "publisso.json", True, 2),
     }
-    write_documents(outputs, str(tmp_path / "docs"), partitions=3)
-    parts = sorted((tmp_path / "docs" / "file_name=soil.json").glob("part-*"))
+    write_documents(outputs, str(tmp_path / "docs"), indent=2, partitions=3)
+    parts = sorted((tmp_path / "docs" / "repo=soil" / "file_name=soil.json").glob("part-*"))
     text = "".join(part.read_text() for part in parts)
     two = [{"name": "b"}, {"name": "a", "z": 1, "c": [None]}]
     assert text.rstrip("\n") == json.dumps([GOOD, *two, GOOD], indent=2, sort_keys=True)
+    write_documents(outputs, str(tmp_path / "compact"), files.select("repo", "file_name"), partitions=3)
+    for folder in (tmp_path / "compact").glob("repo=*/file_name=*"):
+        json.loads("".join(part.read_text() for part in sorted(folder.glob("part-*"))))
     write_lines(outputs, str(tmp_path / "lines"))
-    names = {p.name for p in (tmp_path / "lines").glob("file_name=*")}
+    names = {p.name for p in (tmp_path / "lines").glob("repo=*/file_name=*")}
     assert "file_name=empty.json" not in names and len(names) == 7
 
 
@@ -297,7 +306,28 @@ def test_golden_files(spark, tmp_path):
         spark.createDataFrame([], RESPONSES),
         scan_files(spark, str(tmp_path)),
         base_dir=str(tmp_path),
-        stage=Stage(spark),
+        stage=Stage(spark, str(tmp_path / "stage")),
     )
     row = final_report(done.reports, done.entries).collect()[0]
     assert (row.repo_name, row.valid_entries, row.failed_entries, row.skipped) == ("test", 1, 0, False)
+
+
+def test_two_repositories_on_one_route_have_documents_of_their_own(spark, tmp_path):
+    rows = [(repo, i, 0, f'{{"n":{i}}}') for repo in ("openagrar-a", "openagrar-b", "publisso-a") for i in range(5)]
+    entries = spark.createDataFrame(rows, "repo string, url_pos int, item_pos int, entry string")
+    outputs = route_outputs(entries)
+    files = spark.createDataFrame([("publisso-a", "publisso.json"), ("openagrar-b", "thunen_atlas.json")], "repo string, file_name string")
+    write_documents(outputs, str(tmp_path / "docs"), files)
+    found = {}
+    for folder in (tmp_path / "docs").glob("repo=*/file_name=*"):
+        text = "".join(part.read_text() for part in sorted(folder.glob("part-*")))
+        found[folder.parent.name[5:], folder.name[10:]] = json.loads(text)
+    assert found["openagrar-a", "openagrar.json"] == found["openagrar-b", "openagrar.json"] == [{"n": i} for i in range(5)]
+    assert found["publisso-a", "publisso.json"] == found["openagrar-b", "thunen_atlas.json"] == []
+
+
+def test_a_stage_removes_its_tables(spark, tmp_path):
+    with Stage(spark, str(tmp_path)) as stage:
+        assert stage(spark.range(3), "t").count() == 3
+        assert len(list(tmp_path.iterdir())) == 1
+    assert not list(tmp_path.iterdir())

@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from sheaf.operators.extract import extract_all, extract_by_key, flatten_entries
-from sheaf.operators.fetch import landed_texts
+from sheaf.operators.fetch import fetch, landed_outcomes, landed_texts
 from sheaf.operators.reshape import parsed_fields, with_dataset_fields, with_errors
 from sheaf.operators.routing import split_by_publisher
 from sheaf.plans.harvest import fetch_listings
-from sheaf.schemas import REPOS, RESPONSES
+from sheaf.schemas import RESPONSES
+from sheaf.sources.catalog import repo_catalog
 from sheaf.sources.responses import read_responses
 
 
@@ -38,7 +39,7 @@ def test_extraction_parses_once(spark, tmp_path):
 
 
 def test_listing_lookup_shuffles_no_bodies(spark, tmp_path):
-    repos = spark.createDataFrame([(0, "r", "http://l", "xml", "jsonld", True)], REPOS)
+    repos = repo_catalog(spark, [{"name": "r", "url": "http://l", "sitemap": "xml", "metadata": "jsonld"}])
     text = plan(fetch_listings(repos, landed(spark, tmp_path)))
     join = next(line for line in text.splitlines() if "LeftSemi" in line)
     assert "BroadcastHashJoin" in join and "SortMergeJoin" not in text.split("LeftSemi")[1]
@@ -48,7 +49,15 @@ def test_reshape_parses_once_under_a_filter(spark):
     df = spark.createDataFrame([], "repo string, url_pos int, item_pos int, entry string")
     df = df.repartition(2)
     fields = with_dataset_fields(with_errors(parsed_fields(df))).where(~F.col("failed"))
-    assert plan(fields).count("parseJson(") == 1
+    # Once, and once more for the texts that only the helper could read.
+    assert plan(fields).count("parseJson(") == 2
+
+
+def test_a_request_meets_its_response_in_one_join(spark, tmp_path):
+    requests = spark.createDataFrame([("r", 0, "http://a")], "repo string, url_pos int, url string")
+    statuses = landed_outcomes(landed(spark, tmp_path), unique_urls=True)
+    text = plan(fetch(requests, statuses))
+    assert text.count("Join") == 1 and "ReadSchema: struct<url:string,status:int,net_error:string>" in text
 
 
 def test_split_is_one_narrow_pass(spark):

@@ -4,6 +4,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from sheaf.operators.reshape import reshape
 
@@ -239,3 +240,14 @@ def test_key_order_and_empty_lists(spark):
 def test_unknown_error_mode(spark):
     with pytest.raises(ValueError):
         reshape(spark.createDataFrame([], "repo string, url_pos int, item_pos int, entry string"), "skip")
+
+
+def test_constants_of_other_fields_and_nulls_further_down(spark):
+    rows = [
+        ("r", 0, '{"doi":"1","other":NaN,"title":["a"]}'),
+        ("r", 1, '{"doi":"2","title":[{"a":null,"b":[null,{"c":null}],"s":":null,"}],"x":-Infinity}'),
+        ("r", 2, '{"doi":"3","title":["c"]}'),
+    ]
+    records = spark.createDataFrame(rows, "repo string, url_pos int, entry string").withColumn("item_pos", F.lit(0))
+    got = {r.url_pos: json.loads(r.entry)["name"] for r in reshape(records).collect()}
+    assert got == {0: "a", 1: {"b": [{}], "s": ":null,"}, 2: "c"}
