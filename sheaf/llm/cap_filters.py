@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.components import checkpointed, connected_components
+from sheaf.llm.components import connected_components
+from sheaf.plans.staging import checkpointed
 
 MIN_COSINE = 0.9
 #: Directions are all combinations of one code word per half of the rotated vector.

@@ -2,31 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, written to the shared folder that ``spark.checkpoint.dir`` names.
-
-    Only a session that runs in one process may go without that setting; it gets a folder of its own.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_folder(spark))
-    return df.checkpoint()
-
-
-def checkpoint_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="sheaf-checkpoint-")
-    return folder
+from sheaf.plans.staging import checkpointed
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheaf.llm.components import checkpointed
 from sheaf.llm.text import text_bytes, unused_name
+from sheaf.plans.staging import checkpointed
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3

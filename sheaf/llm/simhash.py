@@ -11,8 +11,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheaf.llm.components import checkpointed, connected_components
+from sheaf.llm.components import connected_components
 from sheaf.llm.text import CHUNK_BYTES, text_bytes, unused_name
+from sheaf.plans.staging import checkpointed
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
