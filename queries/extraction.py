@@ -8,7 +8,7 @@ from queries.corpora import VARIANT_SQL, embedded_pages, standalone_documents, t
 from queries.registry import query
 from sheaf.functions.html import jsonld_blocks
 from sheaf.functions.json import with_records
-from sheaf.operators.extract import dead_letters, extract_by_key, flatten_entries
+from sheaf.operators.extract import EXTRACTORS, dead_letters, extract_by_key, flatten_entries
 from sheaf.sources.splits import spread_rows
 
 ESCAPED_SQL = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
@@ -84,6 +84,24 @@ def jsonld_documents(spark, sf_dir):
     )
 
 
+@query("""
+SELECT c_custkey, c_custkey % 10 >= 3 AS parsed, 1::BIGINT AS n_raw,
+       CASE c_custkey % 10 WHEN 0 THEN left(plain, 12) WHEN 1 THEN plain || ' x' WHEN 2 THEN '' WHEN 3 THEN '[' || plain || ',{"id":0}]'
+            WHEN 4 THEN '{"id":-1,"name":"' || c_name || '","id":' || c_custkey || '}' WHEN 5 THEN c_custkey::VARCHAR
+            WHEN 6 THEN '{"n":' || c_custkey || '.50,"name":"ü\\u00e9"}' ELSE ' ' || plain || chr(10) END AS raw
+FROM (SELECT *, '{"name":"' || c_name || '","id":' || c_custkey || '}' AS plain FROM customer)
+""")
+def jsonld_raw_documents(spark, sf_dir):
+    # The raw text of every standalone document, whether it can be parsed or not.
+    done = EXTRACTORS["jsonld"](standalone_documents(spark, sf_dir))
+    return done.select(
+        "c_custkey",
+        F.col("entries").isNotNull().alias("parsed"),
+        F.size("raw").cast("bigint").alias("n_raw"),
+        F.get("raw", F.lit(0)).alias("raw"),
+    )
+
+
 @query(f"""
 SELECT 'embedded_jsonld' AS metadata,
        CASE WHEN v IN (1, 3, 5) THEN 'parse' ELSE 'ok' END AS outcome,
@@ -127,7 +145,7 @@ def dead_letter(spark, sf_dir):
 SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber,
        '{"A":[' || l_suppkey || ',{"b":null,"ä":"' || l_shipdate::DATE || '"}],"a":{"flag":"'
        || l_returnflag || '","status":"' || l_linestatus || '"},"part":' || l_partkey
-       || ',"ü\\\\":true}' AS entry
+       || ',"ü\\\\":true' || CASE WHEN l_orderkey % 50 = 0 THEN ',"￮":1,"😀":2' ELSE '' END || '}' AS entry
 FROM lineitem
 """)
 def canonical_json(spark, sf_dir):
@@ -139,7 +157,8 @@ def canonical_json(spark, sf_dir):
     content = text(
         '{ "part" : ', F.col("l_partkey"), ',\n"a":{"status":"', F.col("l_linestatus"), '","flag":"',
         F.col("l_returnflag"), '"},"\\u00fc\\\\":true, "A":[', F.col("l_suppkey"),
-        ' , {"\\u00e4":"', F.col("l_shipdate").cast("date"), '","b":null}]}',
+        ' , {"\\u00e4":"', F.col("l_shipdate").cast("date"), '","b":null}]',
+        F.when(F.col("l_orderkey") % 50 == 0, ', "😀":2,"￮" : 1}').otherwise("}"),
     )
     parsed = with_records(lines.withColumn("content", content), "content", "records")
     return parsed.select(

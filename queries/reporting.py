@@ -50,8 +50,9 @@ def source_reports(spark, sf_dir):
         F.lit("crawl").alias("mode"),
         F.lit(None).cast("array<string>").alias("items"),
     )
-    aborted = sources.where(F.col("name") == "src3").select(F.col("name").alias("repo"))
-    return harvest_reports(listings, aborted, crawl_counts(extracted_pages(spark, sf_dir)))
+    lost = F.when(F.col("name") == "src3", "technical").otherwise("ok")
+    outcomes = sources.select(F.col("name").alias("repo"), text("https://example.org/", F.col("name")).alias("url"), lost.alias("outcome"))
+    return harvest_reports(listings, aborted_repos(outcomes), crawl_counts(extracted_pages(spark, sf_dir)))
 
 
 @query(REPORTS_SQL)
