@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at once. A longer text is cut between words where an operator allows it.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 SEPARATOR = b"\n"
 
 #: True for bytes of words without ASCII white space: ``[^\x20\x09-\x0D]+``.
