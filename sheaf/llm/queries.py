@@ -7,16 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import cap_filters, decontaminate, language_id, licences, line_dedup, mixing, quality, recurrent_lm, simhash, toxicity
+from sheaf.llm import (
+    cap_filters,
+    decontaminate,
+    divergence,
+    language_id,
+    licences,
+    line_dedup,
+    mixing,
+    prefix_trie,
+    quality,
+    recurrent_lm,
+    secret_scan,
+    simhash,
+    toxicity,
+)
+from sheaf.llm import oracles
 from sheaf.llm.text import doc_hash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-#: None of the results is expressible in the SQL of the driver's database: see the brute-force versions in tests/llm.
+#: Where there is no SQL, results are learned, drawn or aligned: see the brute-force versions in tests/llm.
 ORACLES: dict[str, str] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[function.__name__] = function
+    name = function.__name__
+    QUERIES[name] = function
+    if name in oracles.SQL:
+        ORACLES[name] = oracles.SQL[name]
     return function
 
 
@@ -87,3 +105,21 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of each document."""
     return language_id.languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in each document."""
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Other sources of a language, and the terms of its own, by divergence, for each source."""
+    return divergence.source_divergences(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
