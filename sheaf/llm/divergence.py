@@ -24,7 +24,7 @@ SCALE = 1_000_000_000
 GROUP_BLOCK = 32
 TERM_BLOCK = 4096
 #: Counts held before they are handed on, and bytes of a long text counted at once.
-HELD_COUNTS = 200_000
+HELD_COUNTS = 400_000
 PART_BYTES = 1 << 22
 
 #: True for bytes of terms: ``[^\x00-\x40\x5B-\x60\x7B-\x7F]+``.
@@ -158,7 +158,8 @@ def source_divergences(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int
     langs = checkpointed(langs)
 
     block = F.pmod(F.xxhash64("term"), F.col("term_blocks"))
-    placed = terms.join(langs, "lang").select("lang", "term", block.alias("term_block"))
+    # Dealt anew, lest a language's blocks stay together where the join has put them.
+    placed = terms.join(langs, "lang").select("lang", "term", block.alias("term_block")).repartition("lang", "term_block")
     place = F.row_number().over(Window.partitionBy("lang", "term_block").orderBy("term")) - 1
     placed = checkpointed(placed.select("lang", "term", "term_block", place.alias("place")))
 
@@ -166,13 +167,13 @@ def source_divergences(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int
     groups = groups.join(totals, ["lang", "source"], "left").join(langs, "lang")
     groups = checkpointed(groups.withColumn("total", F.coalesce("total", zero)).withColumn("block", F.pmod(F.xxhash64("source"), F.col("group_blocks"))))
     sizes = placed.groupBy("lang", "term_block").agg(F.count("*").alias("size"))
-    blocks = langs.select("lang", F.explode(F.sequence(zero, F.col("term_blocks") - 1)).alias("term_block"))
-    blocks = checkpointed(blocks.join(sizes, ["lang", "term_block"], "left").select("lang", "term_block", F.coalesce("size", zero).alias("size")))
 
     entries = counts.join(placed, ["lang", "term"]).groupBy("lang", "source", "term_block").agg(F.collect_list(F.struct("place", "n")).alias("entries"))
-    slices = groups.join(blocks, "lang").join(entries, ["lang", "source", "term_block"], "left")
-    other = F.explode(F.sequence(zero, F.col("group_blocks") - 1))
-    slices = slices.select("lang", "source", "block", "term_block", "size", "total", "n_terms", F.col("entries.place").alias("places"), F.col("entries.n").alias("counts"), other.alias("other"))
+    slices = groups.withColumn("term_block", F.explode(F.sequence(zero, F.col("term_blocks") - 1)))
+    slices = slices.join(sizes, ["lang", "term_block"], "left").join(entries, ["lang", "source", "term_block"], "left")
+    other = F.explode(F.sequence(zero, F.col("group_blocks") - 1)).alias("other")
+    size = F.coalesce("size", zero).alias("size")
+    slices = slices.select("lang", "source", "block", "term_block", size, "total", "n_terms", F.col("entries.place").alias("places"), F.col("entries.n").alias("counts"), other)
     cells = slices.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
     sums = cells.groupBy("lang", "low", "high", "term_block").applyInPandas(_cell, CELL)
     sums = sums.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
