@@ -417,10 +417,12 @@ def crawl_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     """
     pages = embedded_pages(spark, sf_dir).drop("repo")
     pages = pages.withColumn("part", block_range("doc_id", DOCS_PER_LISTING))
+    # Catalog and listings need no more than the ids.
+    ids = table(spark, sf_dir, "documents").select("doc_id", block_range("doc_id", DOCS_PER_LISTING).alias("part"))
     within = F.col("doc_id") % DOCS_PER_LISTING
     part = F.col("part")
-    loc = text("<url><loc>", F.col("url"), "</loc></url>")
-    listings = joined(pages, "part", "doc_id", loc, "\n")
+    loc = text("<url><loc>https://data.example.org/page/", F.col("doc_id"), "</loc></url>")
+    listings = joined(ids, "part", "doc_id", loc, "\n")
     listing_url = text("https://lists.example.org/", part)
     end = F.when(part % 10 == 8, "").otherwise("</urlset>")
     listed = listings.select(
@@ -439,7 +441,7 @@ def crawl_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
             status,
         )
     )
-    repos = pages.select("part").distinct().select(
+    repos = ids.select("part").distinct().select(
         part.cast("int").alias("repo_pos"),
         text("repo-", part).alias("name"),
         listing_url.alias("url"),

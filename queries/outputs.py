@@ -32,7 +32,7 @@ from sheaf.plans.harvest import (
     route_outputs,
 )
 from sheaf.sinks.documents import document_lines
-from sheaf.plans.staging import checkpointed, remove, shared_folder
+from sheaf.plans.staging import Stage, checkpointed, remove, shared_folder
 from sheaf.sinks.snapshots import RunFailed, publish, read_snapshot, read_snapshots, snapshot_rows
 from sheaf.sources.responses import read_responses
 
@@ -146,8 +146,9 @@ def _report(report):
 @query(CRAWL_SQL)
 def harvest_crawl(spark, sf_dir):
     repos, listed, paged = crawl_inputs(spark, sf_dir)
-    done = harvest(repos, paged, unique_urls=True, listing_responses=listed)
-    return _report(final_report(done.reports, done.entries))
+    with Stage(spark) as stage:  # listings and pages are read more than once
+        done = harvest(repos, paged, unique_urls=True, listing_responses=listed, stage=stage)
+        return checkpointed(_report(final_report(done.reports, done.entries)))
 
 
 @query(f"""
@@ -203,8 +204,9 @@ FROM docs JOIN parts USING (part) WHERE part % 10 < 7 AND NOT lost AND (within I
 """)
 def drop_causes(spark, sf_dir):
     repos, listed, paged = crawl_inputs(spark, sf_dir)
-    letters = harvest(repos, paged, unique_urls=True, listing_responses=listed).dead_letters
-    return letters.select("repo", "scope", "outcome", F.col("url_pos").cast("bigint").alias("within"))
+    with Stage(spark) as stage:
+        letters = harvest(repos, paged, unique_urls=True, listing_responses=listed, stage=stage).dead_letters
+        return checkpointed(letters.select("repo", "scope", "outcome", F.col("url_pos").cast("bigint").alias("within")))
 
 
 @query("""

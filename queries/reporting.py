@@ -18,6 +18,7 @@ from sheaf.operators.reports import (
     run_report,
 )
 from sheaf.operators.routing import publisher_name, route_of, split_by_publisher, split_reports
+from sheaf.plans.staging import checkpointed
 
 
 @query(f"""
@@ -27,7 +28,7 @@ GROUP BY repo HAVING NOT bool_or(outcome = 'technical')
 def repo_abort(spark, sf_dir):
     requests = event_requests(spark, sf_dir)
     wanted = requests.select("repo", "url").distinct()
-    outcomes = fetch(wanted, landed_outcomes(landed_events(spark, sf_dir)))
+    outcomes = fetch(wanted, checkpointed(landed_outcomes(landed_events(spark, sf_dir))))
     kept = requests.join(aborted_repos(outcomes), "repo", "left_anti")
     return kept.groupBy("repo").agg(F.count(F.lit(1)).alias("n_urls"))
 

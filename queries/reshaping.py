@@ -241,7 +241,7 @@ def reshape_truncate(spark, sf_dir):
     key = F.col("p_partkey")
     records = fanout_records(spark, sf_dir, repaired=key % 60 != 33)
     # A constant that JSON doesn't know, in a field that nobody reads.
-    marked = text('{"extra":NaN,', F.substring("entry", 2, 1 << 20))
+    marked = text('{"extra":NaN,', F.substring("entry", 2, F.length("entry")))
     records = records.withColumn("entry", F.when(key % 9 == 1, marked).otherwise(F.col("entry")))
     done = reshape(records, "truncate")
     return done.groupBy(F.col("url_pos").alias("p_partkey"), "repo").agg(

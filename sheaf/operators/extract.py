@@ -36,19 +36,23 @@ EXTRACTORS: dict[str, Extractor] = {"embedded_jsonld": embedded_jsonld, "jsonld"
 
 
 def extract_all(
-    landed: DataFrame, extractors: Mapping[str, Extractor] = EXTRACTORS
+    landed: DataFrame,
+    extractors: Mapping[str, Extractor] = EXTRACTORS,
+    wanted: Callable[[str], Column] | None = None,
 ) -> DataFrame:
-    """Run every extractor on every landed document, in one pass and without a shuffle.
+    """Run the extractors on landed documents, in one pass and without a shuffle.
 
-    Which one a document needs is only known once its URL meets a repository. Parsing first means
-    that this meeting moves entries, not bodies, and that a URL listed many times is parsed once. An
-    extractor that does not fit a document gives up at its first character.
+    Which one a document needs is only known for sure once its URL meets a repository. Parsing first
+    means that this meeting moves entries, not bodies, and that a URL listed many times is parsed
+    once. ``wanted(key)`` tells of each document whether that extractor may be asked for (see
+    :mod:`sheaf.operators.requested`); without it all of them see all documents.
 
     Replaces ``content`` by one struct column ``(entries, raw)`` per extractor.
     """
     others = [c for c in landed.columns if c != "content"]
-    df = landed
+    df = landed.withColumn("_content", F.col("content"))
     for key, extractor in extractors.items():
+        df = df.withColumn("content", F.col("_content") if wanted is None else F.when(wanted(key), F.col("_content")))
         df = extractor(df)
         failed = F.col("content").isNotNull() & F.col("entries").isNull()
         result = F.struct("entries", F.when(failed, F.col("raw")).alias("raw"))

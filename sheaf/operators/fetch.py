@@ -85,8 +85,9 @@ def landed_texts(responses: DataFrame, client_error_scope: str = DATASET) -> Dat
 def fetch(requests: DataFrame, landed: DataFrame) -> DataFrame:
     """One outcome per requested position; ``landed`` is unique by URL and has an ``outcome``.
 
-    A URL that a large share of all rows asks for makes a large partition of the requests; AQE cuts it by its measured
-    bytes and copies the one landed row, so the plan sets no threshold of its own.
+    A URL that a large share of all rows asks for makes a large partition of the requests. AQE cuts it by its measured
+    bytes and copies the one landed row, if ``landed`` was written and read back: it does not where that side is an
+    aggregate by URL that the join takes over as it is partitioned.
     """
     requests = requests.withColumn("_key", request_key(F.col("url")))
     landed = landed.withColumnRenamed("url", "_key")

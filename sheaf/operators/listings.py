@@ -64,7 +64,11 @@ def xml_sitemap(df: DataFrame) -> DataFrame:
 
 
 def id_list(base_url: str = ID_LIST_BASE) -> Parser:
-    """Ids under ``response.docs``, each turned into a URL; one bad record spoils the listing."""
+    """Ids under ``response.docs``, each turned into a URL; one bad record spoils the listing.
+
+    Any empty list, object or text there lists nothing; another object or text is walked by its keys or characters,
+    which hold no ids.
+    """
 
     def parse(df: DataFrame) -> DataFrame:
         df = with_records(df, "content", "_docs", ("response", "docs"))
@@ -76,10 +80,11 @@ def id_list(base_url: str = ID_LIST_BASE) -> Parser:
                 lambda doc: F.try_variant_get(F.try_parse_json(doc), "$.id", "variant"),
             ),
         )
-        whole = (F.col("_docs.state") == "ok") & F.col("_docs.is_list") & F.forall(
-            "_ids", lambda value: value.isNotNull()
-        )
+        ok = F.col("_docs.state") == "ok"
+        nothing = ok & ~F.col("_docs.is_list") & F.get("_docs.items", F.lit(0)).isin("{}", '""')
+        whole = nothing | (ok & F.col("_docs.is_list") & F.forall("_ids", lambda value: value.isNotNull()))
         urls = F.transform("_ids", lambda value: F.concat(F.lit(base_url), _python_text(value)))
+        urls = F.when(nothing, F.array().cast("array<string>")).otherwise(urls)
         bad = F.col("content").isNotNull() & ~F.coalesce(whole, F.lit(False))
         return (
             df.withColumn("urls", F.when(whole, urls))

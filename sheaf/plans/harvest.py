@@ -28,6 +28,7 @@ from sheaf.operators.listings import (
     parse_listings,
 )
 from sheaf.operators.reports import crawl_counts, harvest_reports, lost_urls, run_report
+from sheaf.operators.requested import asked, asked_for, request_bitmap
 from sheaf.operators.reshape import reshape
 from sheaf.operators.routing import (
     RESHAPE_TARGET,
@@ -84,17 +85,22 @@ def crawl(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Follow ``urls (repo, metadata, url_pos, url)``: the pages, the repositories dropped, and the URLs that did it.
 
-    Which repositories drop out is settled on statuses alone, before any body is read.
+    Which repositories drop out is settled on statuses alone, before any body is read. Then a bitmap of the URLs still
+    followed is held against each landed row, so that only bodies which are asked for are decoded, and each extractor
+    parses only those that ask for it. What landed is staged before it meets the requests, so that AQE can split a
+    URL that very many of them name.
     """
     requests = urls.select("repo", "url").distinct()
     statuses = landed_outcomes(responses, client_error_scope, unique_urls)
+    statuses = statuses if unique_urls else stage(statuses, "statuses")
     lost = stage(lost_urls(fetch(requests, statuses)), "lost")
     aborted = lost.select("repo").distinct()
     followed = urls.join(aborted, "repo", "left_anti")
     results = [f"by_{key}" for key in extractors]
-    landed = extract_all(landed_texts(responses, client_error_scope), extractors)
+    wanted = asked_for(responses, request_bitmap(followed, extractors))
+    landed = extract_all(landed_texts(wanted, client_error_scope), extractors, asked)
     if not unique_urls:
-        landed = latest_by_url(landed, ["outcome", *results])
+        landed = stage(latest_by_url(landed, ["outcome", *results]), "landed")
     landed = landed.select("url", "outcome", *results)
     pages = choose_extractor(fetch(followed, landed), extractors)
     pages = pages.select("repo", "url_pos", "url", "outcome", "entries", "raw")

@@ -41,6 +41,11 @@ LISTINGS = [
     ("openagrar", '{"response":{"docs":[]}}', [], None, None),
     ("openagrar", '{"response":{"docs":[{"id":"a"},{}]}}', None, None, "repo"),
     ("openagrar", '{"response":{"docs":{"id":"a"}}}', None, None, "repo"),
+    ("openagrar", '{"response":{"docs": {} }}', [], None, None),
+    ("openagrar", '{"response":{"docs":""}}', [], None, None),
+    ("openagrar", '{"response":{"docs":"a"}}', None, None, "repo"),
+    ("openagrar", '{"response":{"docs":0}}', None, None, "repo"),
+    ("openagrar", '{"response":{"docs":null}}', None, None, "repo"),
     ("openagrar", '{"response":{}}', None, None, "repo"),
     ("openagrar", "[]", None, None, "repo"),
     ("openagrar", "no json", None, None, "repo"),
