@@ -49,6 +49,11 @@ def decoded_text(body: Column, charset: Column | None = None) -> Column:
     )
 
 
+def has_mark(body: Column) -> Column:
+    """Whether a byte order mark opens the body."""
+    return (F.substring(body, 1, 3) == F.lit(_UTF8_MARK)) | F.substring(body, 1, 2).isin(*_UTF16_MARKS) | F.substring(body, 1, 4).isin(*_UTF32_MARKS)
+
+
 def _utf16_ok(body: Column) -> Column:
     """Whole units only, and every surrogate has its partner."""
     units = F.regexp_replace(F.hex(body), "(.{4})", "$1,")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.functions.charsets import decoded_text
+from sheaf.functions.charsets import decoded_text, has_mark
 from sheaf.functions.urls import request_key, url_scheme
 from sheaf.sources.responses import latest_by_url
 
@@ -68,14 +70,25 @@ def landed_outcomes(
     return df.select("url", "outcome") if unique_urls else latest_by_url(df, ["outcome"])
 
 
-def landed_texts(responses: DataFrame, client_error_scope: str = DATASET) -> DataFrame:
-    """Replace ``body`` by ``outcome`` and ``content``. A narrow step: nothing is shuffled."""
+def landed_texts(
+    responses: DataFrame, client_error_scope: str = DATASET, detect: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """Replace ``body`` by ``outcome`` and ``content``. A narrow step: nothing is shuffled.
+
+    ``detect`` (see :func:`sheaf.functions.detection.charset_detector`) reads the bodies that neither their own bytes
+    nor a declared charset explain, and those in which zero bytes make UTF-8 unlikely.
+    """
     charset = F.col("charset") if "charset" in responses.columns else None
     outcome = status_outcome(F.col("status"), F.col("net_error"), client_error_scope)
     df = responses.withColumns({"url": request_key(F.col("url")), "outcome": outcome})
     df = df.withColumn(
         "content", F.when(F.col("outcome") == "ok", decoded_text(F.col("body"), charset))
     )
+    if detect is not None:
+        zeros = F.col("content").contains("\x00") & ~has_mark(F.col("body"))
+        unclear = (F.col("outcome") == "ok") & (F.length("body") > 0) & (F.col("content").isNull() | zeros)
+        df = df.withColumn("_detected", detect(F.when(unclear, F.col("body"))))
+        df = df.withColumn("content", F.coalesce("_detected", "content")).drop("_detected")
     undecoded = (F.col("outcome") == "ok") & F.col("content").isNull()
     return df.withColumn("outcome", F.when(undecoded, "decode").otherwise(F.col("outcome"))).drop(
         "body", "charset"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.urls import request_key
@@ -59,7 +59,10 @@ class Harvest:
 
 
 def fetch_listings(
-    repos: DataFrame, responses: DataFrame, client_error_scope: str = DATASET
+    repos: DataFrame,
+    responses: DataFrame,
+    client_error_scope: str = DATASET,
+    detect: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Add ``outcome`` and ``content`` of each repository's listing.
 
@@ -69,7 +72,7 @@ def fetch_listings(
     repos = repos.withColumn("_key", request_key(F.col("url")))
     wanted = repos.select(F.col("_key").alias("url")).distinct()
     hits = responses.withColumn("url", request_key(F.col("url"))).join(wanted, "url", "left_semi")
-    hits = latest_by_url(landed_texts(hits, client_error_scope), ["outcome", "content"])
+    hits = latest_by_url(landed_texts(hits, client_error_scope, detect), ["outcome", "content"])
     joined = repos.join(hits.withColumnRenamed("url", "_key"), "_key", "left").drop("_key")
     return joined.withColumn("outcome", url_outcome(F.col("url"), F.col("outcome")))
 
@@ -82,6 +85,7 @@ def crawl(
     extractors: Mapping[str, Extractor] = EXTRACTORS,
     stage: Callable[[DataFrame, str], DataFrame],
     unique_urls: bool = False,
+    detect: Callable[[Column], Column] | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Follow ``urls (repo, metadata, url_pos, url)``: the pages, the repositories dropped, and the URLs that did it.
 
@@ -98,7 +102,7 @@ def crawl(
     followed = urls.join(aborted, "repo", "left_anti")
     results = [f"by_{key}" for key in extractors]
     wanted = asked_for(responses, request_bitmap(followed, extractors))
-    landed = extract_all(landed_texts(wanted, client_error_scope), extractors, asked)
+    landed = extract_all(landed_texts(wanted, client_error_scope, detect), extractors, asked)
     if not unique_urls:
         landed = stage(latest_by_url(landed, ["outcome", *results]), "landed")
     landed = landed.select("url", "outcome", *results)
@@ -119,6 +123,7 @@ def harvest(
     stage: Callable[[DataFrame, str], DataFrame] = unstaged,
     unique_urls: bool = False,
     listing_responses: DataFrame | None = None,
+    detect: Callable[[Column], Column] | None = None,
 ) -> Harvest:
     """Harvest every repository of the catalog in one plan.
 
@@ -126,7 +131,8 @@ def harvest(
     ``unique_urls`` if the responses hold every URL once: the entries are then not reduced by URL
     before they meet the requests, which saves sorting all of them. ``listing_responses`` answers the
     listings if they are landed apart: no body of a page is then read to find them. ``stage`` (see
-    :class:`sheaf.plans.staging.Stage`) writes what several results read; without it all is one lazy plan.
+    :class:`sheaf.plans.staging.Stage`) writes what several results read; without it all is one lazy plan. ``detect``
+    reads bodies whose charset nothing declares (see :mod:`sheaf.functions.detection`).
     """
 
     def answered(requests: DataFrame, landed: DataFrame) -> DataFrame:
@@ -136,7 +142,7 @@ def harvest(
         return landed.unionByName(local, allowMissingColumns=True)
 
     lists = responses if listing_responses is None else listing_responses
-    fetched = fetch_listings(repos, answered(repos, lists), client_error_scope)
+    fetched = fetch_listings(repos, answered(repos, lists), client_error_scope, detect)
     listings = stage(parse_listings(fetched, parsers, tuple(extractors)), "listings")
     urls = dataset_urls(listings)
     pages, aborted, lost = crawl(
@@ -146,6 +152,7 @@ def harvest(
         extractors=extractors,
         stage=stage,
         unique_urls=unique_urls,
+        detect=detect,
     )
     entries = flatten_entries(pages).unionByName(inline_entries(listings))
     reports = harvest_reports(listings, aborted, crawl_counts(pages))
