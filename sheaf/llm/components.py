@@ -10,12 +10,12 @@ from sheaf.plans.staging import checkpointed
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+    lowest = checkpointed(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")))
     return both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    lowest = edges.groupBy("a").agg(F.min("b").alias("low"))
+    lowest = checkpointed(edges.groupBy("a").agg(F.min("b").alias("low")))
     moved = edges.join(lowest, "a").where("b != low").select(F.col("b").alias("a"), F.col("low").alias("b"))
     return moved.union(lowest.select("a", F.col("low").alias("b")))
 
@@ -26,7 +26,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Edges go either way; loops, repeats and nulls among them do no harm. Nodes without an edge to another are left
     out. Each round sends every node's larger neighbours, then its smaller ones, to the smallest of them, until all
     components are stars; the number of rounds grows with the logarithm of the longest path. A node's edges are
-    never gathered: minima are aggregated before the shuffle and joined back, and AQE splits the join of a hub.
+    never gathered: minima are aggregated before the shuffle, written, and joined back, so that AQE can split the join
+    of a hub.
     """
     a, b = edges.columns
     # Each edge points from its larger node to its smaller one.

@@ -18,7 +18,7 @@ MASKS = ("1111111", "110110111", "1101011011", "11100100111")
 MIN_WORDS = 12
 MIN_EQUAL = 0.75
 #: Bytes of benchmark text that one pass over the documents compares with.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 #: Hits of one text that are verified at once.
 HITS = 1 << 16
 
@@ -37,6 +37,12 @@ class Index:
     places: np.ndarray
     filter: np.ndarray
     shift: np.uint64
+    masks: tuple[str, ...]
+
+    def may_hold(self, seeds: np.ndarray) -> np.ndarray:
+        """Whether each seed may be in the index: a look at one bit."""
+        at = (seeds >> self.shift).astype(np.int64)
+        return (self.filter[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
 def seed_hashes(words: np.ndarray, mask: str, salt: int) -> np.ndarray:
@@ -53,34 +59,41 @@ def seed_hashes(words: np.ndarray, mask: str, salt: int) -> np.ndarray:
 
 
 def build_index(items: list[tuple[int | None, bytes]], masks: tuple[str, ...] = MASKS) -> Index:
+    """An item that is shorter than the shortest mask is indexed as a whole, by a mask of its own length."""
     words, bounds = [], [0]
     for _, at, starts in word_hashes([text for _, text in items], ALNUM):
         words.append(at)
         bounds.extend(bounds[-1] + np.diff(starts).cumsum())
     words = np.concatenate(words) if words else np.zeros(0, dtype=np.uint64)
     bounds = np.array(bounds, dtype=np.int64)
-    owner = np.repeat(np.arange(len(items)), np.diff(bounds))
+    lengths = np.diff(bounds)
+    owner = np.repeat(np.arange(len(items), dtype=np.int32), lengths)
+    shortest = min(map(len, masks), default=0)
+    masks = (*masks, *("1" * int(n) for n in np.unique(lengths[(lengths > 0) & (lengths < shortest)])))
     seeds, places = [], []
     for salt, mask in enumerate(masks):
         found = seed_hashes(words, mask, salt)
-        at = np.arange(len(found))
+        at = np.arange(len(found), dtype=np.int32)
         one_item = owner[at] == owner[at + len(mask) - 1] if len(at) else np.zeros(0, dtype=bool)
+        if len(at) and len(mask) < shortest:
+            one_item &= lengths[owner[at]] == len(mask)
         seeds.append(found[one_item])
         places.append(at[one_item])
     seeds, places = np.concatenate(seeds), np.concatenate(places)
     order = np.argsort(seeds, kind="stable")
     bits = max(16, int(max(1, len(seeds)) - 1).bit_length() + 4)
-    present = np.zeros(1 << bits, dtype=bool)
+    present = np.zeros(1 << (bits - 3), dtype=np.uint8)
     shift = np.uint64(64 - bits)
-    present[(seeds >> shift).astype(np.int64)] = True
-    return Index(words, bounds, [i for i, _ in items], owner, seeds[order], places[order], present, shift)
+    at = (seeds >> shift).astype(np.int64)
+    np.bitwise_or.at(present, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+    return Index(words, bounds, [i for i, _ in items], owner, seeds[order], places[order], present, shift, masks)
 
 
-def _hits(words: np.ndarray, index: Index, masks: tuple[str, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _hits(words: np.ndarray, index: Index) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of the text and of the index with equal seeds."""
-    for salt, mask in enumerate(masks):
+    for salt, mask in enumerate(index.masks):
         found = seed_hashes(words, mask, salt)
-        at = np.flatnonzero(index.filter[(found >> index.shift).astype(np.int64)])
+        at = np.flatnonzero(index.may_hold(found))
         low = np.searchsorted(index.seeds, found[at], "left")
         count = np.searchsorted(index.seeds, found[at], "right") - low
         at, low, count = at[count > 0], low[count > 0], count[count > 0]
@@ -95,15 +108,40 @@ def _hits(words: np.ndarray, index: Index, masks: tuple[str, ...]) -> Iterator[t
             start = stop
 
 
-def overlaps(words: np.ndarray, index: Index, masks: tuple[str, ...] = MASKS, min_words: int = MIN_WORDS, min_equal: float = MIN_EQUAL) -> Iterator[tuple[int, int, int, int, int]]:
+def best_stretches(equal: np.ndarray, min_words: int, min_equal: float) -> Iterator[tuple[int, int, int]]:
+    """``(start, end, number of equal)`` of the stretches that are long and equal enough, ascending.
+
+    First comes the stretch with the largest sum of +1 for an equal and -3/2 for a replaced word, then in the same
+    way what is left on both sides of it.
+    """
+    before = np.concatenate([[0], np.cumsum(equal)])
+    sums = 2.5 * before - 1.5 * np.arange(len(before))
+    found, parts = [], [(0, len(equal))]
+    while parts:
+        low, high = parts.pop()
+        if high - low < min_words or before[high] - before[low] < min_equal * min_words:
+            continue
+        part = sums[low : high + 1]
+        end = low + int(np.argmax(part - np.minimum.accumulate(part)))
+        start = low + int(np.argmin(sums[low : end + 1]))
+        if end == start:
+            continue
+        same = int(before[end] - before[start])
+        if end - start >= min_words and same >= min_equal * (end - start):
+            found.append((start, end, same))
+        parts += [(low, start), (end, high)]
+    return iter(sorted(found))
+
+
+def overlaps(words: np.ndarray, index: Index, min_words: int = MIN_WORDS, min_equal: float = MIN_EQUAL) -> Iterator[tuple[int, int, int, int, int]]:
     """``(item, start, words, item_start, equal)`` for each verified overlap of one text with the items.
 
     Around each hit the text and the item are laid side by side without gaps. Of the places on that diagonal where
-    both have words, the overlap is the stretch with the largest sum of +1 for an equal and -3/2 for a replaced word;
-    it counts if it is long and equal enough. An item shorter than ``min_words`` must be covered whole.
+    both have words, all stretches count that are long and equal enough. An item shorter than ``min_words`` must be
+    covered whole.
     """
     diagonals: dict[tuple[int, int], None] = {}
-    for at, place in _hits(words, index, masks):
+    for at, place in _hits(words, index):
         item = index.items[place]
         pairs = np.unique(np.stack([item, at - (place - index.bounds[item])], axis=1), axis=0)
         diagonals.update(dict.fromkeys(map(tuple, pairs.tolist())))
@@ -111,13 +149,8 @@ def overlaps(words: np.ndarray, index: Index, masks: tuple[str, ...] = MASKS, mi
         own = index.words[index.bounds[item] : index.bounds[item + 1]]
         low, high = max(0, offset), min(len(words), offset + len(own))
         equal = words[low:high] == own[low - offset : high - offset]
-        sums = np.concatenate([[0.0], np.cumsum(np.where(equal, 1.0, -1.5))])
-        least = np.minimum.accumulate(sums)
-        end = int(np.argmax(sums - least))
-        start = int(np.argmin(sums[: end + 1]))
-        length, same = end - start, int(equal[start:end].sum())
-        if length >= min(min_words, len(own)) and same >= min_equal * length:
-            yield item, low + start, length, low + start - offset, same
+        for start, end, same in best_stretches(equal, min(min_words, len(own)), min_equal):
+            yield item, low + start, end - start, low + start - offset, same
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, min_words: int = MIN_WORDS, min_equal: float = MIN_EQUAL, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -125,8 +158,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...]
 
     Words are runs of letters and digits, ASCII ones lower-cased. The benchmark is the query set: it is cut by a hash
     into blocks of about ``block_bytes``, and each block is shipped to one pass over all documents, so memory doesn't
-    grow with it. Null and empty texts overlap with nothing, nor do items of fewer words than the shortest mask;
-    repeated rows give repeated results; ids may be null.
+    grow with it. Null and empty texts overlap with nothing, items of fewer words than the shortest
+    mask must stand word by word; repeated rows give repeated results; ids may be null.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long"), text_bytes(F.col("text")).alias("text"))
@@ -145,12 +178,12 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...]
                 for first, words, starts in word_hashes(batch.column(1).to_pylist(), ALNUM):
                     # One look at all the texts' seeds tells which of them to look at closely.
                     near = np.zeros(len(words) + 1, dtype=bool)
-                    for salt, mask in enumerate(masks):
+                    for salt, mask in enumerate(index.masks):
                         seeds = seed_hashes(words, mask, salt)
-                        near[: len(seeds)] |= index.filter[(seeds >> index.shift).astype(np.int64)]
+                        near[: len(seeds)] |= index.may_hold(seeds)
                     hit = np.unique(np.searchsorted(starts, np.flatnonzero(near), side="right") - 1)
                     for k in hit[hit < len(starts) - 1]:
-                        for item, start, length, item_start, same in overlaps(words[starts[k] : starts[k + 1]], index, masks, min_words, min_equal):
+                        for item, start, length, item_start, same in overlaps(words[starts[k] : starts[k + 1]], index, min_words, min_equal):
                             rows.append((ids[first + k], index.item_ids[item], start, length, item_start, same))
                 arrays = [pa.array(column, pa.int64()) for column in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 6
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "item_id", "start", "words", "item_start", "equal"])
@@ -163,9 +196,13 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...]
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents, with all their columns, that hold no benchmark passage; rows without an id are judged by their text.
 
-    A document found in any row goes with all rows of its id.
+    A document found in any row goes with all rows of its id. A row without id and text holds nothing and stays.
     """
     key = unused_name(docs, "row_key")
-    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
-    found = contaminations(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark, **options)
-    return keyed.join(found.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(*docs.columns)
+    gone = contaminations(docs.where("doc_id IS NOT NULL"), benchmark, **options).select("doc_id").distinct()
+    named = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti")
+    # Rows without an id are told apart by their text; ids and hashes are kept apart, as they may be equal.
+    nameless = docs.where("doc_id IS NULL").withColumn(key, F.xxhash64("text"))
+    held = contaminations(nameless.select(F.col(key).alias("doc_id"), "text"), benchmark, **options)
+    nameless = nameless.join(held.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti")
+    return named.unionByName(nameless.select(*docs.columns)).select(*docs.columns)

@@ -144,7 +144,9 @@ def fit(docs: DataFrame, training: Column, max_rows: int = TRAIN_ROWS) -> Networ
     size = F.octet_length("text")
     start = F.pmod(F.xxhash64("doc_id", F.lit("window")), F.greatest(size - WINDOW, F.lit(0)) + 1).cast("int")
     window = F.substring(F.col("text").cast("binary"), start + 1, F.lit(WINDOW))
-    rows = known.where(share_of(F.col("doc_id"), share)).select("doc_id", "lang", window.alias("window")).collect()
+    # One row an id, however often it is repeated: the collected rows are bounded by ``max_rows``.
+    rows = known.where(share_of(F.col("doc_id"), share)).select("doc_id", F.struct("lang", window.alias("window")).alias("row"))
+    rows = rows.groupBy("doc_id").agg(F.min("row").alias("row")).select("doc_id", "row.*").collect()
     rows = sorted((r.doc_id, r.lang, bytes(r.window)) for r in rows)
     classes = np.array([languages.index(lang) for _, lang, _ in rows], dtype=np.int64)
     if not rows:

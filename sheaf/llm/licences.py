@@ -31,10 +31,60 @@ TEMPLATES = (
         ("in compliance with the license", "apache org licenses license 2 0"),
     ),
     ("Apache-2.0", "licensed under the apache license version 2 0", ("apache license version 2 0",)),
+    (
+        "Apache-2.0",
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
+        ("distributed on an as is basis", "without warranties or conditions of any kind"),
+    ),
+    (
+        "BSD-2-Clause",
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+        ("redistributions in binary form must reproduce the above copyright notice",),
+    ),
     (
         "BSD-3-Clause",
-        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products",
-        ("redistribution and use in source and binary forms", "may be used to endorse or promote products"),
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+        ("may be used to endorse or promote products derived from this software",),
+    ),
+    (
+        "ISC",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+        ("for any purpose with or without fee is hereby granted",),
+    ),
+    (
+        "MPL-2.0",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+        ("subject to the terms of the mozilla public license v 2 0",),
+    ),
+    (
+        "EPL-2.0",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",
+        ("eclipse public license 2 0",),
+    ),
+    (
+        "LGPL",
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version",
+        ("gnu lesser general public license", "free software foundation"),
+    ),
+    (
+        "AGPL",
+        "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version",
+        ("gnu affero general public license", "free software foundation"),
+    ),
+    (
+        "Unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software",
+        ("free and unencumbered software released into the public domain",),
+    ),
+    (
+        "Zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software",
+        ("in no event will the authors be held liable for any damages",),
+    ),
+    (
+        "BSL-1.0",
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license",
+        ("any person or organization obtaining a copy of the software",),
     ),
     (
         "GPL",
@@ -51,6 +101,9 @@ TEMPLATES = (
     ("all-rights-reserved", "all rights reserved", ("all rights reserved",)),
 )
 
+#: A licence that another one holds whole is named only where that one isn't.
+HELD_BY = {"BSD-2-Clause": "BSD-3-Clause"}
+
 #: So many of a template's rarest words are in the index; this share of them, by IDF, must stand in place.
 INDEXED = 8
 MIN_SHARE = 0.6
@@ -139,6 +192,7 @@ def scan(words: np.ndarray, index: Index, at: np.ndarray) -> tuple[np.ndarray, i
         if share:
             labels.add(template.label)
             score = max(score, share)
+    labels -= {held for held, holder in HELD_BY.items() if holder in labels}
     places = np.sort(np.concatenate(base)) if base else np.zeros(0, dtype=np.int64)
     return places, after, base_labels, labels | base_labels, min(1.0, score)
 

@@ -21,14 +21,15 @@ def share_of(key: Column, share: Column | float) -> Column:
 def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, training: Column, max_rows: int) -> DataFrame:
     """``(doc_id, label, text)`` of about ``max_rows`` labelled training documents, all of them where there are fewer.
 
-    A document with several labels gets the largest. The chosen ids number about ``max_rows``, whatever the input's
-    size, so they can be broadcast.
+    A document with several labels gets the largest; an id with several texts gives the smallest. So the rows number
+    about ``max_rows``, however large the input and however often an id is repeated, and the ids can be broadcast.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & training)
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     total = known.count()
     chosen = known.where(share_of(F.col("doc_id"), min(1.0, max_rows / max(total, 1))))
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def text_parts(texts: list[bytes], letters: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, list[bytes]]]:

@@ -8,7 +8,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheaf.llm.components import connected_components
@@ -46,18 +46,21 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(counts * 2 > total, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, key: Column | None = None) -> DataFrame:
     """``(doc_id, bits)`` for each row of ``docs``: bit i is set if it is in over half the shingles' XXH64.
 
-    A null or blank text has fingerprint zero.
+    A null or blank text has fingerprint zero. ``key``: a column of longs to hand on as ``key``.
     """
+    kept = ["doc_id"] if key is None else ["doc_id", "key"]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = [fingerprint(text.as_py(), shingle_words) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.int64())], names=["doc_id", "bits"])
+            bits = [fingerprint(text.as_py(), shingle_words) for text in batch.column(len(kept))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(bits, pa.int64())], names=[*kept, "bits"])
 
-    return docs.select(F.col("doc_id").cast("long"), text_bytes(F.col("text"))).mapInArrow(hashed, "doc_id long, bits long")
+    keys = [] if key is None else [key.alias("key")]
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keys, text_bytes(F.col("text")))
+    return slim.mapInArrow(hashed, ", ".join(f"{name} long" for name in [*kept, "bits"]))
 
 
 def _blocks(max_bits: int) -> list[int]:
@@ -116,23 +119,42 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bit
     fingerprint, so a group of copies of any size costs one row in the search.
     """
     marked = checkpointed(fingerprints(docs, shingle_words))
+    return marked.join(_components(marked, max_bits), "bits").select("doc_id", "bits", "component_id")
+
+
+def _components(marked: DataFrame, max_bits: int) -> DataFrame:
+    """``(bits, component, component_id)`` for each fingerprint: its component's smallest one, and smallest id.
+
+    Written, so that the join with a large group of copies, all of one fingerprint, can be split.
+    """
     classes = marked.groupBy("bits").agg(F.min("doc_id").alias("first_id"))
     stars = connected_components(links(classes.select("bits"), max_bits)).select(F.col("node").alias("bits"), "component")
     homes = classes.join(stars, "bits", "left").withColumn("component", F.coalesce("component", "bits"))
     lowest = homes.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = homes.join(lowest, "component").select("bits", "component_id")
-    return marked.join(named, "bits").select("doc_id", "bits", "component_id")
+    return checkpointed(homes.join(lowest, "component").select("bits", "component", "component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """Of each component the document with the smallest id, with all its columns.
+    """Of each component one row with the smallest id, with all its columns.
 
-    An id that several rows carry stays once, with its smallest row. Rows with a null id can't be named and stay.
+    Rows are judged by their own text: of several that carry one id, each stays that no other component's row nor a
+    smaller id makes a near-duplicate; of those in one component the smallest row, by text, then by all its columns.
+    Rows with a null id can't be named and stay. An empty table stays empty.
     """
-    found = near_duplicates(docs, shingle_words, max_bits)
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti")
-    rank = unused_name(docs, "rank")
-    order = [c for c in ("text", "lang", "source", "n_chars") if c in docs.columns]
-    first = named.withColumn(rank, F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))).where(F.col(rank) == 1)
-    return first.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    key, rank = unused_name(docs, "text_key"), unused_name(docs, "rank")
+    component = unused_name(docs, "component")
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    # Fingerprints by id and text: what follows needs the texts no more, but to hand them on.
+    marked = checkpointed(fingerprints(docs, shingle_words, F.xxhash64("text")))
+    found = marked.join(_components(marked, max_bits), "bits").where("doc_id IS NOT NULL").select(F.col("doc_id"), F.col("key").alias(key), F.col("component").alias(component), "component_id")
+    gone = checkpointed(found.where("doc_id != component_id").select("doc_id", key).distinct())
+    kept = keyed.where("doc_id IS NOT NULL").join(gone, ["doc_id", key], "left_anti")
+    # Only where an id has several rows left is there something to choose.
+    left = found.where("doc_id = component_id")
+    several = checkpointed(left.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    homes = left.join(several, "doc_id", "left_semi").select("doc_id", key, component).distinct()
+    order = [*(["text"] if "text" in docs.columns else []), F.to_json(F.struct(*docs.columns))]
+    first = F.row_number().over(Window.partitionBy("doc_id", component).orderBy(*order))
+    chosen = kept.join(homes, ["doc_id", key]).withColumn(rank, first).where(F.col(rank) == 1)
+    single = kept.join(several, "doc_id", "left_anti")
+    return single.select(*docs.columns).union(chosen.select(*docs.columns)).union(docs.where("doc_id IS NULL"))

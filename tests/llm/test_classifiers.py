@@ -161,6 +161,13 @@ def speech_corpus(n=360):
     return rows
 
 
+def test_copies_of_one_labelled_id_are_one_row(spark):
+    docs = spark.range(10_000).selectExpr("7L AS doc_id", "concat('text ', id % 3) AS text").unionByName(spark.createDataFrame([(8, "other")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, quality int")
+    rows = labelled_rows(docs, labels, "quality", F.lit(True), 100).collect()
+    assert sorted((r.doc_id, r.label, r.text) for r in rows) == [(7, 1, "text 0"), (8, 0, "other")]
+
+
 def test_languages_held_out(spark):
     rows = speech_corpus()
     got = language_id.languages(spark.createDataFrame(rows, SCHEMA)).collect()

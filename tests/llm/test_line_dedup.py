@@ -66,6 +66,62 @@ def test_long_lines_against_brute_force(spark):
     assert cleaned(spark, texts) == brute_force(texts, 20)
 
 
+def all_pairs(texts, min_words=20):
+    """Lines that aligning each document with every earlier one takes away, and those of common runs of lines."""
+    lines = {i: [x for x in t.split("\n") if x.split()] for i, t in texts}
+    gone = {i: set() for i in lines}
+    for i, own in lines.items():
+        for j, other in lines.items():
+            if j < i:
+                place = {line: p for p, line in enumerate(other)}
+                matches = [(p, place[line], len(line.split())) for p, line in enumerate(own) if line in place]
+                gone[i] |= set(line_dedup.common_blocks(matches, min_words))
+                for p in range(len(own)):
+                    for q in (q for q in range(len(other)) if other[q] == own[p]):
+                        n = 0
+                        while p + n < len(own) and q + n < len(other) and own[p + n] == other[q + n]:
+                            n += 1
+                        if sum(len(x.split()) for x in own[p : p + n]) >= min_words:
+                            gone[i] |= set(range(p, p + n))
+    return {i: "\n".join(x for p, x in enumerate(own) if p not in gone[i]) for i, own in lines.items()}
+
+
+def test_a_passage_whose_lines_stand_alone_elsewhere(spark):
+    block = [f"{text(300 + k, 8)}" for k in range(6)]
+    singles = [(i, f"{text(400 + i, 9)}\n{block[i]}\n{text(500 + i, 9)}") for i in range(6)]
+    between = [(11 + i, f"{text(600 + i, 9)}\n{block[i]}") for i in range(6)]
+    passage = "\n".join(block)
+    got = cleaned(spark, [*singles, (10, f"{text(7, 30)}\n{passage}"), *between, (17, f"{passage}\n{text(8, 30)}")])
+    assert got[17] == text(8, 30) and got[10] == f"{text(7, 30)}\n{passage}"
+    assert all(got[i] == t for i, t in singles + between)
+
+
+def test_a_passage_of_very_frequent_lines(spark):
+    block = [text(300 + k, 8) for k in range(4)]
+    singles = [(i, f"{text(1000 + i, 9)}\n{block[i % 4]}") for i in range(200)]
+    passage = "\n".join(block)
+    got = cleaned(spark, [*singles, (300, passage), (301, f"{text(1, 5)}\n\n{passage}"), (302, f"{passage}\n{passage}")])
+    assert got[300] == passage and got[301] == f"{text(1, 5)}\n"
+    assert got[302] == passage, "the second time is no copy of an earlier document's"
+
+
+def test_rare_lines_against_all_pairs(spark):
+    rng = random.Random(8)
+    blocks = [[text(3000 + 20 * b + k, rng.randrange(4, 12)) for k in range(rng.randrange(2, 7))] for b in range(30)]
+    texts, uses = [], [0] * 30
+    for i in range(60):
+        lines = [text(10_000 + i, 6)]
+        for b in rng.sample(range(30), 3):
+            uses[b] += 1
+            if uses[b] <= line_dedup.RARE:
+                part = [x for x in blocks[b] if rng.random() < 0.85]
+                lines += [*part, text(20_000 + 40 * i + b, 5)]
+        texts.append((i, "\n".join(lines)))
+    got = cleaned(spark, texts)
+    want = all_pairs(texts)
+    assert got == want and sum(got[i] != t for i, t in texts) > 20
+
+
 def test_odd_rows(spark):
     docs = with_clashes(odd_docs(spark))
     got = line_dedup.deduplicate_lines(docs, removed="away")

@@ -2,10 +2,11 @@ from collections import defaultdict
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from sheaf.llm import simhash
 from sheaf.llm.components import connected_components
-from tests.llm.corpora import no_docs, odd_docs, odd_rows, spaced, text, with_clashes
+from tests.llm.corpora import SCHEMA, no_docs, odd_docs, odd_rows, spaced, text, with_clashes
 
 
 def slow_fingerprint(value, k=3):
@@ -75,7 +76,7 @@ def test_drop_keeps_one_of_each_group_and_all_columns(spark):
     kept = simhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     rows = kept.collect()
-    assert sorted(r.doc_id for r in rows if r.doc_id is not None) == [1, 4, 6, 7, 8, 9]
+    assert sorted(r.doc_id for r in rows if r.doc_id is not None) == [1, 4, 6, 6, 7, 8, 9]
     assert sum(r.doc_id is None for r in rows) == 2
     assert simhash.drop_near_duplicates(no_docs(spark)).collect() == []
 
@@ -85,3 +86,10 @@ def test_components_of_a_long_path_and_a_hub(spark):
     hub = [(1, i) for i in range(2, 40)] + [(5, 5), (7, 1), (None, 3)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(path + hub, "x long, y long")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 1 for i in range(1, 40)}}
+
+
+def test_a_repeated_id_keeps_texts_that_are_no_near_duplicates(spark):
+    rows = [(1, text(1, 80), "en", "a", 1), (2, text(2, 80), "en", "a", 1), (2, text(1, 80), "en", "a", 1), (3, text(3, 80), "fr", "b", 1), (3, text(4, 80), "en", "a", 1), (3, text(3, 80), "en", "a", 1), (None, text(1, 80), "en", "a", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("extra", F.rand())
+    kept = sorted((str(r.doc_id), r.text, r.lang) for r in simhash.drop_near_duplicates(docs).collect())
+    assert kept == sorted([("1", text(1, 80), "en"), ("2", text(2, 80), "en"), ("3", text(3, 80), "en"), ("3", text(4, 80), "en"), ("None", text(1, 80), "en")])
