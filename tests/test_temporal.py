@@ -62,7 +62,8 @@ def test_sessions_of_a_stream_leave_late_rows_out(spark, tmp_path):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     source = tmp_path / "in"
     source.mkdir()
-    batches = [[("a", at(0)), ("a", at(30))], [("a", at(5000))], [("a", at(10)), ("a", at(5010))], [("a", at(20_000))]]
+    day = 86_400  # a stream starts with its watermark at 1970
+    batches = [[("a", at(day)), ("a", at(day + 30))], [("a", at(day + 5000))], [("a", at(day + 10)), ("a", at(day + 5010))], [("a", at(day + 20_000))]]
     stream = spark.readStream.schema("key string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(str(source))
     frame = sessions(stream.withWatermark("ts", "10 minutes"), "key", "ts", "60 seconds")
     for number, batch in enumerate(batches):
@@ -70,4 +71,4 @@ def test_sessions_of_a_stream_leave_late_rows_out(spark, tmp_path):
         started = frame.writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
         started.awaitTermination()
     found = spark.read.parquet(str(tmp_path / "out")).collect()
-    assert sorted((r.started, r.n_events) for r in found) == [(at(0), 2), (at(5000), 2)]
+    assert sorted((r.started, r.n_events) for r in found) == [(at(day), 2), (at(day + 5000), 2)]
