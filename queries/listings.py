@@ -16,9 +16,9 @@ from queries.corpora import (
     nested_listings,
     xml_listings,
 )
-from queries.registry import query
+from queries.registry import ORACLES, query
 from sheaf.operators.extract import EXTRACTORS
-from sheaf.operators.listings import dataset_urls, inline_entries, parse_listings
+from sheaf.operators.listings import dataset_urls, inline_entries, listing_rows, member_entries, member_urls, parse_listings
 
 
 def configured(listings, sitemap, metadata=None):
@@ -132,3 +132,26 @@ def sitemap_dispatch(spark, sf_dir):
     return parsed.groupBy("sitemap", "mode", "scope").agg(
         F.count(F.lit(1)).alias("n_listings"), F.sum(found).alias("n_items")
     )
+
+
+@query(f"""
+SELECT repo, url_pos AS position, url AS member FROM ({ORACLES["sitemap_xml_urls"]})
+UNION ALL SELECT repo, url_pos, url FROM ({ORACLES["sitemap_id_urls"]})
+UNION ALL SELECT repo, item_pos, s_name FROM ({ORACLES["inline_records"]})
+UNION ALL SELECT repo, item_pos, p_name FROM ({ORACLES["inline_nested"]})
+""")
+def listing_members(spark, sf_dir):
+    # All kinds in one pass, each member a row as its listing is read.
+    listings = [
+        configured(xml_listings(spark, sf_dir), "xml", "jsonld"),
+        configured(id_listings(spark, sf_dir), "openagrar", "jsonld"),
+        configured(inline_listings(spark, sf_dir), "publisso"),
+        configured(nested_listings(spark, sf_dir), "thunen_atlas"),
+    ]
+    rows = listing_rows(reduce(lambda a, b: a.unionByName(b), listings), extractor_keys=tuple(EXTRACTORS))
+    urls = member_urls(rows).select("repo", F.col("url_pos").cast("bigint").alias("position"), F.col("url").alias("member"))
+    names = F.from_json("entry", "s_name STRING, p_name STRING")
+    records = member_entries(rows).withColumn("names", names)
+    return urls.unionByName(
+        records.select("repo", F.col("item_pos").cast("bigint").alias("position"), F.coalesce("names.s_name", "names.p_name").alias("member"))
+    )

@@ -97,6 +97,15 @@ def with_records(df: DataFrame, content: str, out: str, keys: tuple[str, ...] =
     return df.withColumn(out, F.coalesce(native, f"_{out}_other")).drop(native, f"_{out}_other")
 
 
+def with_canonical(df: DataFrame, content: str, out: str) -> DataFrame:
+    """Add ``out``: the canonical text of the JSON value that ``content`` is; ``content`` is known to be one."""
+    text = F.col(content)
+    df = df.withColumn("_value", sealed(F.when(~is_inexact(text), text)))
+    df = df.withColumn("_native", F.to_json(unsealed(F.col("_value"), text)))
+    df = df.withColumn("_other", _canonical_text(F.when(F.col("_native").isNull(), text)))
+    return df.withColumn(out, F.coalesce("_native", "_other")).drop("_value", "_native", "_other")
+
+
 def _records(state: str, is_list: Column | None = None, items: Column | None = None) -> Column:
     return F.struct(
         F.lit(state).alias("state"),
@@ -236,6 +245,8 @@ def _per_text(function):
     return helper.asNondeterministic()
 
 
+_canonical_text = _per_text(lambda text: canonical(_loads(text)))
+
 _LIMITS = {"NaN": None, "Infinity": 1.7976931348623157e308, "-Infinity": -1.7976931348623157e308}
 
 

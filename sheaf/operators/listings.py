@@ -1,23 +1,27 @@
 """Listings ("sitemaps") of repositories: dataset URLs to follow, or the records themselves.
 
-A parser takes a frame whose ``content`` is NULL wherever the row is not its own, and adds
+``listing_rows`` gives a listing's members as rows: a reader goes through the text and hands them over in small batches,
+so a listing of any number of members is no array. Add your own to a copy of ``READERS``.
+
+A parser, as in ``PARSERS``, takes a frame whose ``content`` is NULL wherever the row is not its own, and adds
 ``urls ARRAY<STRING>``, ``items ARRAY<STRING>`` and ``problem STRING``. All parsers run over the same
-rows in one pass. Add your own to a copy of ``PARSERS``; ``content`` may be fed to any pandas or
-Arrow UDF.
+rows in one pass; ``content`` may be fed to any pandas or Arrow UDF.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from dataclasses import dataclass
 from xml.etree import ElementTree
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheaf.functions.json import with_records
+from sheaf.functions.json import with_canonical, with_records
 from sheaf.operators.fetch import LISTING, error_scope
+from sheaf.operators.pull import Reader, json_ids, json_records, xml_texts
 
 # Where dataset pages of the id-list repository live, and the sitemap namespace.
 ID_LIST_BASE = "https://www.openagrar.de/receive/"
@@ -45,8 +49,6 @@ def _xml_locations(contents: pa.Array) -> pa.Array:
     return pa.array(rows, _XML_ARROW)
 
 
-
-
 def _nothing():
     return F.lit(None).cast("array<string>")
 
@@ -157,26 +159,34 @@ def parse_listings(
 
     df = df.withColumns({c: merged(c) for c in ("urls", "items", "problem")})
     known = F.col("sitemap").isin(*parsers)
-    extractor_known = (
-        F.lit(True) if extractor_keys is None else F.col("metadata").isin(*extractor_keys)
-    )
-    has_extractor = F.col("metadata").isNotNull() & (F.col("metadata") != "")
+    df = _judged(df, fetched, known, F.col("urls").isNotNull(), F.col("items").isNotNull(), extractor_keys)
+    kept = [c for c in listings.columns if c != "content"]
+    return df.select(*kept, "urls", "items", "mode", "scope", "cause")
+
+
+def _has_extractor() -> Column:
+    return F.col("metadata").isNotNull() & (F.col("metadata") != "")
+
+
+def _extractor_known(extractor_keys: tuple[str, ...] | None) -> Column:
+    return F.lit(True) if extractor_keys is None else F.col("metadata").isin(*extractor_keys)
+
+
+def _judged(
+    df: DataFrame, fetched: Column, known: Column, urls: Column, items: Column, extractor_keys: tuple[str, ...] | None
+) -> DataFrame:
+    """Add ``cause``, ``scope`` and ``mode`` of listings that gave ``urls`` or ``items`` or have a ``problem``."""
     result = (
         F.when(~fetched, F.col("_outcome"))
         .when(~known, "unknown_key")
         .when(F.col("problem").isNotNull(), F.col("problem"))
-        .when(F.col("urls").isNotNull() & has_extractor & ~extractor_known, "unknown_key")
+        .when(urls & _has_extractor() & ~_extractor_known(extractor_keys), "unknown_key")
         .otherwise("ok")
     )
     df = df.withColumn("cause", result).withColumn("scope", error_scope(LISTING, F.col("cause")))
     good = F.col("scope").isNull()
-    mode = (
-        F.when(good & F.col("items").isNotNull(), "inline")
-        .when(good & F.col("urls").isNotNull() & has_extractor, "crawl")
-        .otherwise("none")
-    )
-    kept = [c for c in listings.columns if c != "content"]
-    return df.withColumn("mode", mode).select(*kept, "urls", "items", "mode", "scope", "cause")
+    mode = F.when(good & items, "inline").when(good & urls & _has_extractor(), "crawl").otherwise("none")
+    return df.withColumn("mode", mode)
 
 
 def dataset_urls(parsed: DataFrame) -> DataFrame:
@@ -195,3 +205,113 @@ def inline_entries(parsed: DataFrame) -> DataFrame:
         F.lit(0).alias("url_pos"),
         F.posexplode("items").alias("item_pos", "entry"),
     )
+
+
+@dataclass(frozen=True)
+class Members:
+    """How a kind of listing is read: ``inline`` members are records, others are URLs."""
+
+    read: Reader
+    inline: bool = False
+
+
+READERS: dict[str, Members] = {
+    "openagrar": Members(json_ids(ID_LIST_BASE, "response", "docs")),
+    "publisso": Members(json_records(), inline=True),
+    "thunen_atlas": Members(json_records("resources"), inline=True),
+    "xml": Members(xml_texts(_LOC)),
+}
+
+#: Members and characters that a batch of members holds at most (one member may be longer).
+BATCH_MEMBERS, BATCH_CHARS = 4096, 1 << 20
+
+
+def _batches(members: Iterable[str]) -> Iterator[list[str]]:
+    batch, size = [], 0
+    for member in members:
+        if batch and (len(batch) == BATCH_MEMBERS or size + len(member) > BATCH_CHARS):
+            yield batch
+            batch, size = [], 0
+        batch.append(member)
+        size += len(member)
+    if batch:
+        yield batch
+
+
+def listing_rows(
+    listings: DataFrame, readers: Mapping[str, Members] = READERS, extractor_keys: tuple[str, ...] | None = None
+) -> DataFrame:
+    """Each listing as a row without ``position``, and before it a row for each of its members that is to be used.
+
+    A listing's row has its columns (no ``content``), ``n_members``, ``mode``, ``scope`` and ``cause`` as
+    :func:`parse_listings` gives them. A member's row has ``name``, ``metadata``, ``mode``, ``position`` from 0, and
+    ``member``: a URL or the canonical text of a record. Members of a listing that is malformed, lacks its key, or whose
+    URLs no extractor would read give no rows. One pass, no shuffle; meant to be staged, as both kinds are read after it.
+    """
+    outcome = F.col("outcome") if "outcome" in listings.columns else F.lit("ok")
+    kept = [c for c in listings.columns if c != "content"]
+    inline = [key for key, members in readers.items() if members.inline]
+    is_inline = F.col("sitemap").isin(*inline)
+    # Content that is null was not fetched, or has no reader: it is settled by the rest of its row.
+    mine = (outcome == "ok") & F.col("sitemap").isin(*readers)
+    wanted = is_inline | (_has_extractor() & _extractor_known(extractor_keys))
+    df = listings.select(*kept, F.when(mine, F.col("content")).alias("_text"), F.coalesce(wanted, F.lit(False)).alias("_wanted"))
+    own = T.StructType([T.StructField(f.name, f.dataType) for f in listings.schema if f.name != "content"])
+    added = T.StructType().add("position", "long").add("member", "string").add("n_members", "long").add("problem", "string")
+    used = ("name", "sitemap", "metadata")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, problems = [], []
+            for at in range(batch.num_rows):
+                text, wanted = batch["_text"][at].as_py(), batch["_wanted"][at].as_py()
+                count, problem = 0, None
+                if text is not None:
+                    try:
+                        members = readers[batch["sitemap"][at].as_py()].read(text)
+                        for found in _batches(members):
+                            if not wanted:
+                                break
+                            repeated = {c: batch[c].slice(at, 1).take(pa.array([0] * len(found))) for c in used}
+                            columns = [repeated[c] if c in used else pa.nulls(len(found), batch[c].type) for c in kept]
+                            positions = pa.array(range(count, count + len(found)), pa.int64())
+                            rest = [positions, pa.array(found, pa.string()), pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.string())]
+                            yield pa.record_batch(columns + rest, names=[*kept, *added.names])
+                            count += len(found)
+                    except ValueError:
+                        problem = "malformed"
+                    except KeyError:
+                        problem = "missing_key"
+                counts.append(count)
+                problems.append(problem)
+            n = batch.num_rows
+            rest = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.array(counts, pa.int64()), pa.array(problems, pa.string())]
+            yield pa.record_batch([batch[c] for c in kept] + rest, names=[*kept, *added.names])
+
+    rows = df.mapInArrow(read, T.StructType([*own.fields, *added.fields]))
+    member = F.col("position").isNotNull()
+    rows = rows.withColumn("_record", F.when(member & is_inline, F.col("member")))
+    rows = with_canonical(rows, "_record", "_record")
+    rows = rows.withColumn("member", F.coalesce("_record", "member"))
+    # A member's row has no outcome of its own; it is there because its listing was good.
+    rows = rows.withColumn("_outcome", F.when(member, F.lit("ok")).otherwise(outcome))
+    fetched, known = F.col("_outcome") == "ok", F.col("sitemap").isin(*readers)
+    rows = _judged(rows, fetched, known, known & ~is_inline, known & is_inline, extractor_keys)
+    return rows.select(*kept, "position", "member", "n_members", "mode", "scope", "cause")
+
+
+def listings_of(rows: DataFrame) -> DataFrame:
+    """The listings among ``listing_rows``, one row each."""
+    return rows.where("position IS NULL").drop("position", "member")
+
+
+def member_urls(rows: DataFrame) -> DataFrame:
+    """URLs to follow, in listing order, duplicates kept."""
+    crawled = rows.where("position IS NOT NULL AND mode = 'crawl'")
+    return crawled.select(F.col("name").alias("repo"), "metadata", F.col("position").cast("int").alias("url_pos"), F.col("member").alias("url"))
+
+
+def member_entries(rows: DataFrame) -> DataFrame:
+    """Records that came with the listing, in listing order."""
+    inline = rows.where("position IS NOT NULL AND mode = 'inline'")
+    return inline.select(F.col("name").alias("repo"), F.lit(0).alias("url_pos"), F.col("position").cast("int").alias("item_pos"), F.col("member").alias("entry"))

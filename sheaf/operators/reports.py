@@ -35,7 +35,8 @@ def harvest_reports(parsed: DataFrame, aborted: DataFrame, counts: DataFrame) ->
     """
     flagged = aborted.select(F.col("repo").alias("name"), F.lit(True).alias("aborted"))
     counted = counts.withColumnRenamed("repo", "name")
-    df = parsed.withColumn("n_items", F.when(F.col("mode") == "inline", F.size("items"))).select(
+    members = F.col("n_members") if "n_members" in parsed.columns else F.size("items")
+    df = parsed.withColumn("n_items", F.when(F.col("mode") == "inline", members)).select(
         "repo_pos", "name", "mode", "n_items"
     )
     df = df.join(flagged, "name", "left").join(counted, "name", "left")

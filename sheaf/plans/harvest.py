@@ -21,11 +21,12 @@ from sheaf.operators.extract import (
 )
 from sheaf.operators.fetch import DATASET, fetch, landed_outcomes, landed_texts, url_outcome
 from sheaf.operators.listings import (
-    PARSERS,
-    Parser,
-    dataset_urls,
-    inline_entries,
-    parse_listings,
+    READERS,
+    Members,
+    listing_rows,
+    listings_of,
+    member_entries,
+    member_urls,
 )
 from sheaf.operators.reports import crawl_counts, harvest_reports, lost_urls, run_report
 from sheaf.operators.requested import asked, asked_for, request_bitmap
@@ -50,7 +51,7 @@ POSITIONS = ("url_pos", "item_pos", "title_pos", "description_pos", "license_pos
 class Harvest:
     """Tables of one run; all lazy but for what was staged on the way."""
 
-    listings: DataFrame  # one row per repository, with its parsed listing
+    listings: DataFrame  # one row per repository, with what came of its listing
     pages: DataFrame  # one row per followed URL, with its entries
     entries: DataFrame  # repo, url_pos, item_pos, entry
     reports: DataFrame  # per repository, before routing
@@ -118,7 +119,7 @@ def harvest(
     *,
     base_dir: str = "",
     client_error_scope: str = DATASET,
-    parsers: Mapping[str, Parser] = PARSERS,
+    readers: Mapping[str, Members] = READERS,
     extractors: Mapping[str, Extractor] = EXTRACTORS,
     stage: Callable[[DataFrame, str], DataFrame] = unstaged,
     unique_urls: bool = False,
@@ -143,8 +144,8 @@ def harvest(
 
     lists = responses if listing_responses is None else listing_responses
     fetched = fetch_listings(repos, answered(repos, lists), client_error_scope, detect)
-    listings = stage(parse_listings(fetched, parsers, tuple(extractors)), "listings")
-    urls = dataset_urls(listings)
+    rows = stage(listing_rows(fetched, readers, tuple(extractors)), "listings")
+    listings, urls = listings_of(rows), member_urls(rows)
     pages, aborted, lost = crawl(
         urls,
         answered(urls, responses),
@@ -154,7 +155,7 @@ def harvest(
         unique_urls=unique_urls,
         detect=detect,
     )
-    entries = flatten_entries(pages).unionByName(inline_entries(listings))
+    entries = flatten_entries(pages).unionByName(member_entries(rows))
     reports = harvest_reports(listings, aborted, crawl_counts(pages))
     to_split = entries.where(route_of(F.col("repo")) == "split")
     run_errors = listings.where(F.col("scope") == "run").select(
