@@ -6,6 +6,7 @@ import uuid
 from datetime import UTC, datetime
 from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queries.corpora import (
@@ -23,6 +24,7 @@ from queries.corpora import (
 )
 from queries.registry import query
 from queries.reshaping import FANOUT_SQL
+from sheaf.operators.changes import version_changes
 from sheaf.operators.reshape import reshape
 from sheaf.operators.routing import split_by_publisher
 from sheaf.plans.harvest import (
@@ -35,6 +37,7 @@ from sheaf.sinks.documents import document_lines
 from sheaf.plans.staging import Stage, checkpointed, remove, shared_folder
 from sheaf.sinks.snapshots import RunFailed, publish, read_snapshot, read_snapshots, snapshot_rows
 from sheaf.sources.responses import read_responses
+from sheaf.streaming.incremental import advance, extracted_responses, read_extracted, stream_responses
 
 
 @query("""
@@ -252,3 +255,60 @@ def reshape_reports(spark, sf_dir):
     report = final_report(done.reports, done.entries)
     names = repos.select("repo_pos", F.col("name").alias("listed_as"))
     return report.join(names, "repo_pos").select("repo_name", "listed_as", "valid_entries", "failed_entries", "skipped")
+
+
+@query(CRAWL_SQL)
+def incremental_crawl(spark, sf_dir):
+    # Half of the pages land first, along with failures of others; the rest, and those again, before the second run.
+    repos, listed, paged = crawl_inputs(spark, sf_dir)
+    root = f"{shared_folder(spark)}/incremental-{uuid.uuid4()}"
+    key = F.xxhash64("url") % 4
+    late = F.timestamp_seconds(F.lit(1_700_086_400))
+    early = F.timestamp_seconds(F.lit(1_700_000_000))
+    failures = paged.where(key == 3).withColumns({"status": F.lit(500), "body": F.lit(None).cast("binary")})
+    first = paged.where(key < 2).unionByName(failures).withColumn("landed_at", early)
+    second = paged.where(~F.coalesce(key < 2, F.lit(False))).withColumn("landed_at", late)
+    try:
+        for landed in (first, second):
+            landed.write.mode("append").parquet(f"{root}/landed")
+            advance(extracted_responses(stream_responses(spark, f"{root}/landed")), f"{root}/run")
+        pages = read_extracted(spark, f"{root}/run")
+        with Stage(spark) as stage:
+            done = harvest(repos, pages, listing_responses=listed, stage=stage, extracted=True)
+            return checkpointed(_report(final_report(done.reports, done.entries)))
+    finally:
+        remove(spark, root)
+
+
+@query("""
+WITH rows AS (SELECT p_partkey AS k, 'file-' || p_partkey % 3 AS file_name, CASE WHEN p_partkey % 11 = 0 THEN 2 ELSE 1 END AS copies FROM part)
+SELECT file_name, k::VARCHAR AS identity,
+       CASE WHEN k % 7 = 0 THEN 0 ELSE copies - 1 END::BIGINT AS added,
+       CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END::BIGINT AS removed,
+       CASE WHEN k % 7 <> 0 AND k % 5 = 0 THEN 1 ELSE 0 END::BIGINT AS changed
+FROM rows WHERE k % 7 = 0 OR k % 5 = 0 OR copies = 2
+UNION ALL
+SELECT file_name, 'n' || k, 1, 0, 0 FROM rows WHERE k % 13 = 0
+""")
+def changed_entries(spark, sf_dir):
+    # Two published runs: the second has lost some records, changed some, doubled some, and has new ones.
+    root = f"{shared_folder(spark)}/changes-{uuid.uuid4()}"
+    key = F.col("p_partkey")
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_name", text("file-", key % 3).alias("file_name"))
+    names = F.array(F.when(key % 7 != 0, key.cast("string")), F.when((key % 7 != 0) & (key % 11 == 0), key.cast("string")), F.when(key % 13 == 0, text("n", key)))
+    later = rows.withColumn("id", F.explode(F.array_compact(names)))
+    price = F.when((key % 5 == 0) & (F.col("id") == key.cast("string")), 2).otherwise(1)
+    versions = [rows.withColumn("id", key.cast("string")).withColumn("price", F.lit(1)), later.withColumn("price", price)]
+    days = [datetime(2024, 1, day, tzinfo=UTC) for day in (1, 2)]
+    try:
+        for version, day in zip(versions, days, strict=True):
+            outputs = version.select(
+                F.lit("r").alias("repo"), "file_name", key.alias("url_pos"), F.to_json(F.struct("id", "p_name", "price")).alias("entry")
+            )
+            files = outputs.groupBy("repo", "file_name").agg(F.count(F.lit(1)).alias("row_count"))
+            files = files.withColumns({"url": F.lit("http://r"), "published": F.lit(True)})
+            publish(outputs, files, spark.createDataFrame([], "problem string"), f"{root}/versions", day)
+        old, new = (reduce(DataFrame.unionByName, [read_snapshot(spark, f"{root}/versions", day, f"file-{n}") for n in range(3)]) for day in days)
+        return checkpointed(version_changes(old, new, F.get_json_object("entry", "$.id")))
+    finally:
+        remove(spark, root)

@@ -9,12 +9,13 @@ from queries.extraction import extracted_pages
 from queries.fetching import REQUESTS_SQL
 from queries.registry import query
 from sheaf.operators.extract import flatten_entries
-from sheaf.operators.fetch import fetch, landed_outcomes
+from sheaf.operators.fetch import fetch, landed_outcomes, status_outcome
 from sheaf.operators.reports import (
     aborted_repos,
     crawl_counts,
     harvest_reports,
     report_json,
+    report_levels,
     run_report,
 )
 from sheaf.operators.routing import publisher_name, route_of, split_by_publisher, split_reports
@@ -135,3 +136,21 @@ def split_report(spark, sf_dir):
     segments = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("repo")).distinct()
     repos = segments.unionByName(segments.select(text("empty ", F.col("repo")).alias("repo")))
     return split_reports(split, repos.withColumn("repo_pos", F.lit(0))).drop("repo_pos", "report_pos")
+
+
+@query("""
+SELECT route, outcome, repo, count(*)::BIGINT AS n_urls, count(DISTINCT url)::BIGINT AS n_distinct, GROUPING(route, outcome, repo)::BIGINT AS level
+FROM (SELECT CASE user_id % 3 WHEN 0 THEN 'reshape' WHEN 1 THEN 'split' ELSE 'generic' END AS route,
+             CASE user_id % 3 WHEN 0 THEN 'publisso_' WHEN 1 THEN 'openagrar_' ELSE 'repo_' END || user_id AS repo,
+             CASE WHEN event_type <> 'error' THEN 'ok' WHEN event_id % 5 < 2 THEN 'technical' ELSE 'response' END AS outcome,
+             'https://x/' || event_id % 97 AS url FROM events)
+GROUP BY GROUPING SETS ((route, outcome, repo), (route, outcome), (route), (outcome), ())
+""")
+def outcome_levels(spark, sf_dir):
+    event, user = F.col("event_id"), F.col("user_id")
+    repo = text(F.when(user % 3 == 0, "publisso_").when(user % 3 == 1, "openagrar_").otherwise("repo_"), user)
+    status = F.when(F.col("event_type") != "error", 200).when(event % 5 < 2, 503).otherwise(404)
+    pages = table(spark, sf_dir, "events").select(
+        repo.alias("repo"), status_outcome(status, F.lit(None)).alias("outcome"), text("https://x/", event % 97).alias("url")
+    )
+    return report_levels(pages.withColumn("route", route_of(F.col("repo"))))

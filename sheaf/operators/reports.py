@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,3 +70,20 @@ def report_json(report: DataFrame) -> DataFrame:
     """Report rows as JSON text with sorted keys."""
     fields = F.struct("failed_entries", "repo_name", "skipped", "valid_entries")
     return report.select("repo_pos", "report_pos", F.to_json(fields).alias("report"))
+
+
+#: From each repository's outcomes up to the whole run.
+LEVELS = (("route", "outcome", "repo"), ("route", "outcome"), ("route",), ("outcome",), ())
+
+
+def report_levels(pages: DataFrame, levels: Sequence[Sequence[str]] = LEVELS) -> DataFrame:
+    """``pages (route, outcome, repo, url)`` counted at several levels in one pass.
+
+    Adds to the columns of the levels ``n_urls``, ``n_distinct`` and ``level``: one bit per column, set where the row
+    adds up over it (which tells such a null from one that is in the data). Rows are aggregated before the shuffle.
+    """
+    columns = list(dict.fromkeys(c for level in levels for c in level))
+    grouped = pages.groupingSets([[F.col(c) for c in level] for level in levels], *(F.col(c) for c in columns))
+    return grouped.agg(
+        F.count(F.lit(1)).alias("n_urls"), F.count_distinct("url").alias("n_distinct"), F.grouping_id().alias("level")
+    )

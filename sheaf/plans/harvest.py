@@ -87,13 +87,14 @@ def crawl(
     stage: Callable[[DataFrame, str], DataFrame],
     unique_urls: bool = False,
     detect: Callable[[Column], Column] | None = None,
+    extracted: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Follow ``urls (repo, metadata, url_pos, url)``: the pages, the repositories dropped, and the URLs that did it.
 
     Which repositories drop out is settled on statuses alone, before any body is read. Then a bitmap of the URLs still
     followed is held against each landed row, so that only bodies which are asked for are decoded, and each extractor
     parses only those that ask for it. What landed is staged before it meets the requests, so that AQE can split a
-    URL that very many of them name.
+    URL that very many of them name. ``extracted`` says that the bodies were decoded and parsed before.
     """
     requests = urls.select("repo", "url").distinct()
     statuses = landed_outcomes(responses, client_error_scope, unique_urls)
@@ -103,7 +104,7 @@ def crawl(
     followed = urls.join(aborted, "repo", "left_anti")
     results = [f"by_{key}" for key in extractors]
     wanted = asked_for(responses, request_bitmap(followed, extractors))
-    landed = extract_all(landed_texts(wanted, client_error_scope, detect), extractors, asked)
+    landed = wanted if extracted else extract_all(landed_texts(wanted, client_error_scope, detect), extractors, asked)
     if not unique_urls:
         landed = stage(latest_by_url(landed, ["outcome", *results]), "landed")
     landed = landed.select("url", "outcome", *results)
@@ -125,6 +126,7 @@ def harvest(
     unique_urls: bool = False,
     listing_responses: DataFrame | None = None,
     detect: Callable[[Column], Column] | None = None,
+    extracted: bool = False,
 ) -> Harvest:
     """Harvest every repository of the catalog in one plan.
 
@@ -133,8 +135,12 @@ def harvest(
     before they meet the requests, which saves sorting all of them. ``listing_responses`` answers the
     listings if they are landed apart: no body of a page is then read to find them. ``stage`` (see
     :class:`sheaf.plans.staging.Stage`) writes what several results read; without it all is one lazy plan. ``detect``
-    reads bodies whose charset nothing declares (see :mod:`sheaf.functions.detection`).
+    reads bodies whose charset nothing declares (see :mod:`sheaf.functions.detection`). ``extracted`` says that
+    ``responses`` is what an incremental harvest has made of them (see :mod:`sheaf.streaming.incremental`, with the same
+    ``client_error_scope`` and ``extractors``); listings are then landed apart, and there are no ``files``.
     """
+    if extracted and (listing_responses is None or files is not None):
+        raise ValueError("extracted responses go with listing_responses and without files")
 
     def answered(requests: DataFrame, landed: DataFrame) -> DataFrame:
         if files is None:
@@ -154,6 +160,7 @@ def harvest(
         stage=stage,
         unique_urls=unique_urls,
         detect=detect,
+        extracted=extracted,
     )
     entries = flatten_entries(pages).unionByName(member_entries(rows))
     reports = harvest_reports(listings, aborted, crawl_counts(pages))
