@@ -43,8 +43,16 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn to the sources' target weights, a row for each copy, with its shard and its position there."""
-    return mixing.mix(docs)
+    """Documents drawn to the sources' target weights, a row for each copy, with its shard and its position there.
+
+    One copy of a source is cut where the target is reached; ``n_chars`` follows its text.
+    """
+    cut = unused_name(docs, "cut")
+    found = mixing.mix(docs, cut=cut)
+    if "n_chars" in docs.columns:
+        size = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("n_chars", F.when(F.col(cut), size).otherwise(F.col("n_chars")))
+    return found.drop(cut)
 
 
 STAGES = [

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -23,8 +25,36 @@ BUCKET_ROWS = 4096
 #: The totals of the sources are held by the driver and sent to all tasks; more sources than this are refused.
 MAX_SOURCES = 1_000_000
 SEED = 17
-#: Above so many units the generator's hypergeometric draw isn't defined; such a node is split in proportion.
+#: Above so many units the generator's hypergeometric draw isn't defined, and binomial draws are corrected instead.
 LARGEST_DRAW = 10**9 - 1
+#: So few units are drawn one by one.
+FEW = 64
+#: Numbers that a task keeps of the splits it has drawn.
+KEPT_NUMBERS = 1 << 22
+
+
+def drawn(rng: np.random.Generator, quotas: np.ndarray, size: int) -> np.ndarray:
+    """How many of each source's units are among ``size`` of all, drawn without replacement.
+
+    Large totals: each unit is taken with about the right probability; whatever came of it is a uniform choice of its
+    size, from which the excess is drawn to be put back, or to which the lack is drawn from those left. That is the same
+    draw of about the root of the size, so a few rounds do; and it is exact, whatever the probability.
+    """
+    total = int(quotas.sum())
+    if total <= LARGEST_DRAW:
+        return rng.multivariate_hypergeometric(quotas, size, method="marginals")
+    if size <= FEW:
+        left, found = quotas.copy(), np.zeros_like(quotas)
+        for _ in range(size):
+            source = np.searchsorted(np.cumsum(left), rng.integers(int(left.sum())), side="right")
+            left[source] -= 1
+            found[source] += 1
+        return found
+    found = rng.binomial(quotas, size / total)
+    excess = int(found.sum()) - size
+    if excess > 0:
+        return found - drawn(rng, found, excess)
+    return found + drawn(rng, quotas - found, -excess) if excess else found
 
 
 @dataclass
@@ -34,6 +64,7 @@ class Tree:
     quotas: np.ndarray
     shards: int
     seed: int = SEED
+    _known: dict[tuple[int, int], np.ndarray] = field(default_factory=dict, repr=False)
 
     def _until(self, shard: int) -> int:
         """Units in all shards before this one."""
@@ -41,14 +72,13 @@ class Tree:
 
     def split(self, quotas: np.ndarray, low: int, middle: int, high: int) -> np.ndarray:
         """How much of each source's quota goes to the shards below ``middle``: a draw without replacement."""
-        size, total = self._until(middle) - self._until(low), int(quotas.sum())
-        if total <= LARGEST_DRAW:
-            return np.random.default_rng([self.seed, low, high]).multivariate_hypergeometric(quotas, size, method="marginals")
-        whole = [int(q) * size // total for q in quotas]
-        rest = np.array([int(q) * size % total for q in quotas], dtype=object)
-        for i in np.argsort(-rest, kind="stable")[: size - sum(whole)]:
-            whole[i] += 1
-        return np.array(whole, dtype=np.int64)
+        size = self._until(middle) - self._until(low)
+        known = self._known.get((low, high))
+        if known is None:
+            known = drawn(np.random.default_rng([self.seed, low, high]), quotas, size)
+            if len(self._known) * len(quotas) < KEPT_NUMBERS:
+                self._known[low, high] = known
+        return known
 
     def locate(self, sources: np.ndarray, units: np.ndarray) -> np.ndarray:
         """The shard of each unit: of the source's ``quotas[source]`` units, shards take consecutive ones."""
@@ -119,12 +149,10 @@ class Quotas:
     def blocks(self, block_words: int) -> list[int]:
         return [-(-s // block_words) for s in self.sizes]
 
-    def partial(self, block_words: int) -> list[int]:
-        """Blocks that are taken once more."""
-        return [
-            min(n, round((t - w * s) / block_words))
-            for n, s, t, w in zip(self.blocks(block_words), self.sizes, self.targets, self.whole, strict=True)
-        ]
+    @property
+    def partial(self) -> list[int]:
+        """Words that are taken once more."""
+        return [min(s, round(t - w * s)) for s, t, w in zip(self.sizes, self.targets, self.whole, strict=True)]
 
 
 def quotas(slim: DataFrame, weights: Iterable[float], max_copies: int) -> Quotas:
@@ -144,14 +172,15 @@ def draws(
     shard_words: int = SHARD_WORDS,
     seed: int = SEED,
 ) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target`` and ``shards``: where each of a row's copies goes.
+    """``docs`` with ``size``, ``source_size``, ``target``, ``shards`` (where each of a row's copies goes) and ``kept``.
 
     ``docs`` has ``doc_id``, ``source``, ``text`` or ``size``, and any other columns under other names. A source's rows
     are permuted by a hash of id and text (identical rows are alike) and laid end to end; a row belongs to the block
-    that its middle falls in. Of each source all blocks are taken as often as they fit into the target, then the first
-    blocks of the permutation make up the rest. Copies of blocks are numbered, and each shard gets its own stretch of
-    numbers. So no row is taken more than ``max_copies`` times, and a source misses its target by half a block and half
-    a document at most. Rows of size 0 go with their block; a source without words gives none.
+    that it starts in. Of each source all words are taken as often as they fit into the target, then the first words of
+    the permutation make up the rest, to the word: of the row in which they end, the last copy has only ``kept`` words
+    (null for all other rows). Copies of blocks are numbered, and each shard gets its own stretch of numbers. So no row is
+    taken more than ``max_copies`` times, and a source meets its target up to rounding, however long its texts are. Rows
+    of size 0 go with the place they stand at; a source without words gives none.
     """
     hashed = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text") if "text" in docs.columns else F.col("order"), 1)
     rows = (docs if "size" in docs.columns else sized(docs, "size")).withColumn("order", hashed)
@@ -160,16 +189,16 @@ def draws(
     found = quotas(slim, weights, max_copies)
     spark = docs.sparkSession
     units = found.blocks(block_words)
-    taken = [w * n + p for w, n, p in zip(found.whole, units, found.partial(block_words), strict=True)]
+    taken = [w * n - (-p // block_words) for w, n, p in zip(found.whole, units, found.partial, strict=True)]
     words = sum(found.targets)
     tree = Tree(np.array(taken or [0], dtype=np.int64), max(1, -(-int(words) // shard_words)), seed)
-    shared = spark.sparkContext.broadcast((tree, found.whole, units, found.partial(block_words)))
+    shared = spark.sparkContext.broadcast((tree, *(np.array(x, dtype=np.int64) for x in (found.whole, units, found.partial))))
 
     table = [
-        (i, s, max(1, n // BUCKET_ROWS), size, target)
-        for i, (s, n, size, target) in enumerate(zip(found.sources, found.rows, found.sizes, found.targets, strict=True))
+        (i, s, max(1, n // BUCKET_ROWS), size, target, partial)
+        for i, (s, n, size, target, partial) in enumerate(zip(found.sources, found.rows, found.sizes, found.targets, found.partial, strict=True))
     ]
-    sources = F.broadcast(spark.createDataFrame(table, "rank int, named string, buckets long, source_size long, target double"))
+    sources = F.broadcast(spark.createDataFrame(table, "rank int, named string, buckets long, source_size long, target double, partial long"))
 
     def placed(df: DataFrame) -> DataFrame:
         bucket = (F.col("order") / F.lit(float(1 << 63)) * F.col("buckets")).cast("long")
@@ -179,39 +208,58 @@ def draws(
     before = F.sum("words").over(Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     starts = sums.select("rank", "bucket", F.coalesce(before, F.lit(0)).alias("start"))
     inside = Window.partitionBy("rank", "bucket").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    middle = F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("size") / 2
+    start = F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0))
 
-    def copies(ranks: pd.Series, middles: pd.Series) -> pd.Series:
-        tree, whole, units, partial = (np.asarray(x) if isinstance(x, list) else x for x in shared.value)
-        rank = ranks.to_numpy()
+    def copies(ranks: pd.Series, starts: pd.Series) -> pd.Series:
+        tree, whole, units, partial = shared.value
+        rank, at = ranks.to_numpy(), starts.to_numpy()
         if not len(rank):
             return pd.Series([], dtype=object)
-        block = np.minimum((middles.to_numpy() // block_words).astype(np.int64), np.maximum(units[rank] - 1, 0))
-        times = np.where(units[rank] > 0, whole[rank] + (block < partial[rank]), 0)
+        block = np.minimum(at // block_words, np.maximum(units[rank] - 1, 0))
+        times = np.where(units[rank] > 0, whole[rank] + (at < partial[rank]), 0)
         row = np.repeat(np.arange(len(rank)), times)
         nth = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
         shards = tree.locate(rank[row], nth * units[rank[row]] + block[row])
         return pd.Series(np.split(shards, np.cumsum(times)[:-1]), dtype=object)
 
-    ordered = placed(rows).join(starts, ["rank", "bucket"]).withColumn("middle", middle)
-    shards = F.pandas_udf(copies, "array<long>")("rank", "middle").alias("shards")
-    kept = [c for c in docs.columns if c not in ("order", "size")]
-    return ordered.select(*kept, "size", "source_size", "target", shards)
+    ordered = placed(rows).join(starts, ["rank", "bucket"]).withColumn("start", start)
+    shards = F.pandas_udf(copies, "array<long>")("rank", "start").alias("shards")
+    rest = F.col("partial") - F.col("start")
+    left = F.when((rest > 0) & (rest < F.col("size")), rest).alias("kept")
+    names = [c for c in docs.columns if c not in ("order", "size")]
+    return ordered.select(*names, "size", "source_size", "target", shards, left)
+
+
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def _first_words(texts: pd.Series, words: pd.Series) -> pd.Series:
+    return pd.Series(
+        [None if t is None else t[: next(islice(_WORD.finditer(t), int(n) - 1, None)).end()].decode() for t, n in zip(texts, words, strict=True)],
+        dtype=object,
+    )
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
+def mix(docs: DataFrame, cut: str | None = None, **options) -> DataFrame:
     """The mix: the columns of ``docs``, and ``shard`` and ``position`` (names lengthened if taken).
 
     A row for each copy. ``position`` counts within the shard, in an order drawn by a hash; a shard holds about
-    ``shard_words`` words, so that order is local to it.
+    ``shard_words`` words, so that order is local to it. One copy of one document of a source, at which its target is
+    reached, has only its first words; a boolean column ``cut`` tells, if named.
     """
     names = {c: f"c{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "source", "text")}
     inner = docs.select(*("doc_id", "source", "text"), *(F.col(c).alias(n) for c, n in names.items()))
-    found = draws(inner, **options).select(*inner.columns, F.posexplode("shards").alias("copy", "to"))
+    placed = draws(inner, **options)
+    short = F.pandas_udf(_first_words, "string")(F.when(F.col("kept").isNotNull(), text_bytes(F.col("text"))), F.col("kept"))
+    last = F.size("shards") - 1
+    found = placed.withColumns({"short": short, "last": last}).select(*inner.columns, "short", "last", F.posexplode("shards").alias("copy", "to"))
+    is_cut = F.col("short").isNotNull() & (F.col("copy") == F.col("last"))
     shuffled = Window.partitionBy("to").orderBy(F.xxhash64("to", "copy", "doc_id", "text"), "doc_id", "copy")
-    numbered = found.withColumn("nth", F.row_number().over(shuffled) - 1)
+    numbered = found.withColumn("nth", F.row_number().over(shuffled) - 1).withColumn("is_cut", is_cut)
+    numbered = numbered.withColumn("text", F.when(F.col("is_cut"), F.col("short")).otherwise(F.col("text")))
     shard, position = unused_name(docs, "shard"), unused_name(docs, "position")
-    return numbered.select(*(F.col(names.get(c, c)).alias(c) for c in docs.columns), F.col("to").alias(shard), F.col("nth").alias(position))
+    told = [] if cut is None else [F.col("is_cut").alias(cut)]
+    return numbered.select(*(F.col(names.get(c, c)).alias(c) for c in docs.columns), F.col("to").alias(shard), F.col("nth").alias(position), *told)
 
 
 def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
@@ -219,4 +267,5 @@ def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
     hashed = F.xxhash64(F.lit(options.get("seed", SEED)), "doc_id", "text").alias("order")
     slim = sized(docs.select("doc_id", "source", "text"), "size").select("doc_id", "source", "size", hashed)
     found = draws(checkpointed(slim), **options)
-    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).cast("long").alias("taken"))
+    taken = F.col("size") * F.size("shards") - F.coalesce(F.col("size") - F.col("kept"), F.lit(0))
+    return found.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
