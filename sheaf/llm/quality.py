@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from sheaf.llm.samples import labelled_rows, sigmoid, text_parts
 from sheaf.llm.text import CHUNK_BYTES, SEPARATOR, SPACED, doc_hash, span_hashes, text_bytes, word_bounds
 
-#: The classifier is fitted on about so many labelled rows at most, and on so many bytes of each.
+#: The classifier is fitted on the whole texts of about so many labelled rows at most.
 TRAIN_ROWS = 6000
-TRAIN_BYTES = 4096
+#: Longer texts of these are counted where they are read, so that a row to the driver has about a megabyte at most.
+LONG_BYTES = 1 << 20
 BUCKET_BITS = 17
 WIDTH = 16
 GRAMS = (3, 4)
@@ -56,17 +57,23 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.searchsorted(owner_ends, np.concatenate(places), side="right").clip(max=len(texts) - 1)
 
 
-def train(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
-    """Stochastic gradient descent over texts, one at a time; the weight of each bucket for class 1 against 0, and the bias."""
+def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of a whole text and how often it has each; a long one is counted in pieces."""
+    times = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
+    for _, parts in text_parts([text], SPACED, CHUNK_BYTES):
+        times += np.bincount(features(parts)[0], minlength=len(times))
+    found = np.flatnonzero(times)
+    return found.astype(np.int32), times[found]
+
+
+def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> tuple[np.ndarray, float]:
+    """Stochastic gradient descent over texts' bags, one at a time; the weight of each bucket for class 1 against 0, and the bias."""
     rng = np.random.default_rng(SEED)
     vectors = rng.uniform(-1 / WIDTH, 1 / WIDTH, (1 << BUCKET_BITS, WIDTH)).astype(np.float32)
     output = np.zeros((WIDTH, 2), dtype=np.float32)
     share = np.clip(labels.mean() if len(labels) else 0.5, 0.01, 0.99)
     bias = np.log(np.array([1 - share, share], dtype=np.float32))
-    bags = []
-    for text in texts:
-        found, times = np.unique(features([text])[0], return_counts=True)
-        bags.append((found, (times / max(1, times.sum())).astype(np.float32)))
+    bags = [(found, (times / max(1, times.sum())).astype(np.float32)) for found, times in bags]
     steps, done = EPOCHS * len(bags), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(len(bags)):
@@ -97,16 +104,27 @@ def classify(texts: list[bytes], weights: np.ndarray, bias: float) -> np.ndarray
 def fit(docs: DataFrame, labels: DataFrame, training: Column, label: str = "quality", max_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
     """Weights fitted on about ``max_rows`` labelled rows whose ``doc_id`` meets ``training``.
 
-    Of each, ``TRAIN_BYTES`` bytes at a place drawn by its id are learned from. Without labelled rows every score is 0.5.
+    Whole texts are learned from. Without labelled rows every score is 0.5.
     """
-    sample = labelled_rows(docs, labels, label, training, max_rows)
-    size = F.octet_length("text")
-    start = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.greatest(size - TRAIN_BYTES, F.lit(0)) + 1)
-    part = F.substring(F.col("text").cast("binary"), start.cast("int") + 1, F.lit(TRAIN_BYTES))
-    rows = sorted(sample.where(size > 0).select("doc_id", "label", part.alias("part")).collect())
+    sample = labelled_rows(docs, labels, label, training, max_rows).where(F.octet_length("text") > 0)
+    rows = sample.select("doc_id", "label", text_bytes(F.col("text")).alias("text"))
+    rows = sorted(rows.mapInArrow(_shortened, "doc_id long, label int, text binary, found binary, times binary").collect(), key=lambda r: (r.doc_id, r.label))
     if not rows:
         return np.zeros(1 << BUCKET_BITS, dtype=np.float32), 0.0
-    return train([bytes(r.part) for r in rows], np.array([min(1, max(0, r.label)) for r in rows]))
+    bags = [bag(bytes(r.text)) if r.text is not None else (np.frombuffer(r.found, np.int32), np.frombuffer(r.times, np.int64)) for r in rows]
+    return train(bags, np.array([min(1, max(0, r.label)) for r in rows]))
+
+
+def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts above ``LONG_BYTES`` as their bags."""
+    for batch in batches:
+        texts = batch.column(2).to_pylist()
+        bags = [bag(t) if len(t) > LONG_BYTES else None for t in texts]
+        columns = [
+            batch.column(0).cast(pa.int64()), batch.column(1), pa.array([t if b is None else None for t, b in zip(texts, bags, strict=True)], pa.binary()),
+            *(pa.array([b and b[k].tobytes() for b in bags], pa.binary()) for k in (0, 1)),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "text", "found", "times"])
 
 
 def score(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +131,29 @@ def test_quality_of_a_cut_text(monkeypatch):
     assert quality.classify(texts, weights, 0.1) == pytest.approx(whole, abs=1e-9)
 
 
+def test_quality_learns_from_long_texts_as_bags(monkeypatch):
+    texts = [text(i, 900).encode() for i in range(4)]
+    whole = [quality.bag(t) for t in texts]
+    monkeypatch.setattr(quality, "CHUNK_BYTES", 500)
+    monkeypatch.setattr(quality, "LONG_BYTES", len(texts[1]))
+    for t, (found, times) in zip(texts, whole, strict=True):
+        assert all((a == b).all() for a, b in zip(quality.bag(t), (found, times), strict=True))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array([1, 0, 1, 0], pa.int32()), pa.array(texts, pa.binary())], names=["doc_id", "label", "text"])
+    for row, t, (found, times) in zip(next(quality._shortened([batch])).to_pylist(), texts, whole, strict=True):
+        if len(t) <= len(texts[1]):
+            assert row["text"] == t and row["found"] is None
+        else:
+            assert row["text"] is None and (np.frombuffer(row["found"], np.int32) == found).all() and (np.frombuffer(row["times"], np.int64) == times).all()
+
+
+def test_quality_is_learned_from_whole_texts(spark):
+    same = text(1, 60) + " "
+    rows = [(i, same * 25 + ("fine " if i % 2 else "junk ") * 300 + same * 25) for i in range(120)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2, None) for i, _ in rows], LABELS)
+    assert all((r.score >= 0.5) == bool(r.doc_id % 2) for r in quality.quality_scores(docs, labels).collect())
+
+
 def test_quality_rows(spark):
     docs = with_clashes(odd_docs(spark))
     labels = spark.createDataFrame(ODD_LABELS, LABELS)
