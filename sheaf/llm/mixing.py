@@ -172,7 +172,8 @@ def draws(
     shard_words: int = SHARD_WORDS,
     seed: int = SEED,
 ) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target``, ``shards`` (where each of a row's copies goes) and ``kept``.
+    """``docs`` with ``size``, ``source_size``, ``target``, ``shards`` (where each of a row's copies goes) and ``kept``;
+    with a text also ``short``, its first ``kept`` words.
 
     ``docs`` has ``doc_id``, ``source``, ``text`` or ``size``, and any other columns under other names. A source's rows
     are permuted by a hash of id and text (identical rows are alike) and laid end to end; a row belongs to the block
@@ -225,9 +226,11 @@ def draws(
     ordered = placed(rows).join(starts, ["rank", "bucket"]).withColumn("start", start)
     shards = F.pandas_udf(copies, "array<long>")("rank", "start").alias("shards")
     rest = F.col("partial") - F.col("start")
-    left = F.when((rest > 0) & (rest < F.col("size")), rest).alias("kept")
+    left = F.when((rest > 0) & (rest < F.col("size")), rest)
     names = [c for c in docs.columns if c not in ("order", "size")]
-    return ordered.select(*names, "size", "source_size", "target", shards, left)
+    # In one projection, so that one Python worker does both.
+    short = [F.pandas_udf(_first_words, "string")(F.when(F.col("kept").isNotNull(), text_bytes(F.col("text"))), F.col("kept")).alias("short")]
+    return ordered.withColumn("kept", left).select(*names, "size", "source_size", "target", "kept", shards, *(short if "text" in names else []))
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -249,10 +252,8 @@ def mix(docs: DataFrame, cut: str | None = None, **options) -> DataFrame:
     """
     names = {c: f"c{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "source", "text")}
     inner = docs.select(*("doc_id", "source", "text"), *(F.col(c).alias(n) for c, n in names.items()))
-    placed = draws(inner, **options)
-    short = F.pandas_udf(_first_words, "string")(F.when(F.col("kept").isNotNull(), text_bytes(F.col("text"))), F.col("kept"))
-    last = F.size("shards") - 1
-    found = placed.withColumns({"short": short, "last": last}).select(*inner.columns, "short", "last", F.posexplode("shards").alias("copy", "to"))
+    placed = draws(inner, **options).withColumn("last", F.size("shards") - 1)
+    found = placed.select(*inner.columns, "short", "last", F.posexplode("shards").alias("copy", "to"))
     is_cut = F.col("short").isNotNull() & (F.col("copy") == F.col("last"))
     shuffled = Window.partitionBy("to").orderBy(F.xxhash64("to", "copy", "doc_id", "text"), "doc_id", "copy")
     numbered = found.withColumn("nth", F.row_number().over(shuffled) - 1).withColumn("is_cut", is_cut)
