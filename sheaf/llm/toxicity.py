@@ -14,9 +14,10 @@ from sheaf.llm.recurrent import Adagrad, backward, forward, traced
 from sheaf.llm.samples import labelled_rows, sigmoid, text_parts
 from sheaf.llm.text import ALNUM, doc_hash, joined, span_hashes, text_bytes, unused_name, word_bounds
 
-#: Fitted on about so many toxic and so many other rows at most, of those whose text has at most so many bytes.
+#: Fitted on the whole texts of about so many toxic and so many other rows at most.
 TRAIN_ROWS = 1000, 3000
-TRAIN_BYTES = 4000
+#: Each look at a text scores all its windows; errors go back through so many of them, those with the highest scores.
+LEARNED = 64
 #: Texts that training looks at, the same one again after all others, and so many times at most.
 LOOKS = 14_000
 PASSES = 10
@@ -166,11 +167,24 @@ def train(texts: list[bytes], labels: np.ndarray, looks: int = LOOKS) -> Weights
     return w
 
 
+def _highest(words: Words, ids: np.ndarray, owner: np.ndarray, vectors: np.ndarray, w: Weights) -> np.ndarray:
+    """Places of the ``LEARNED`` windows of each text that score highest; the softmax leaves next to nothing to the others."""
+    if np.bincount(owner).max() <= LEARNED:
+        return np.arange(len(ids))
+    projected = tuple(_projected(vectors, w, way) for way in "fb")
+    logits = np.concatenate([window_logits(words, ids[i : i + 2048], w, projected) for i in range(0, len(ids), 2048)])
+    order = np.lexsort((-logits, owner))
+    nth = np.arange(len(order)) - np.searchsorted(owner, owner)
+    return np.sort(order[nth < LEARNED])
+
+
 def _learn(words: Words, labels: np.ndarray, w: Weights, optimizer: Adagrad) -> None:
     ids, owner = words.windows()
     if not len(ids):
         return
     vectors, grams = _vectors(words, w)
+    highest = _highest(words, ids, owner, vectors, w)
+    ids, owner = ids[highest], owner[highest]
     steps = ids.T
     inside = steps < len(words.distinct)
     start = np.zeros((len(ids), WIDTH), dtype=np.float32)
@@ -215,10 +229,13 @@ def _learn(words: Words, labels: np.ndarray, w: Weights, optimizer: Adagrad) ->
 
 
 def fit(docs: DataFrame, labels: DataFrame, training: Column, label: str = "toxic", max_rows: tuple[int, int] = TRAIN_ROWS) -> Weights:
-    """Weights fitted on whole short texts of about ``max_rows`` (toxic, other) labelled rows that meet ``training``."""
-    short = docs.where(F.octet_length("text").between(1, TRAIN_BYTES))
+    """Weights fitted on the whole texts of about ``max_rows`` (toxic, other) labelled rows that meet ``training``.
+
+    The driver holds these texts, whatever their lengths.
+    """
+    texts = docs.where(F.octet_length("text") > 0)
     known = labels.withColumn(label, F.least(F.greatest(F.col(label), F.lit(0)), F.lit(1)))
-    parts = [labelled_rows(short, known.where(F.col(label) == y), label, training, n) for y, n in zip((1, 0), max_rows, strict=True)]
+    parts = [labelled_rows(texts, known.where(F.col(label) == y), label, training, n) for y, n in zip((1, 0), max_rows, strict=True)]
     rows = parts[0].union(parts[1]).select("doc_id", "label", text_bytes(F.col("text")).alias("text")).collect()
     found = {(r.doc_id, bytes(r.text)): 0 for r in rows}
     for r in rows:
