@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from sheaf.llm.samples import share_of
 from sheaf.llm.text import doc_hash, text_bytes
 
-#: Fitted on about so many rows at most, equal shares for the languages, one window of each row.
-TRAIN_ROWS = 10_000
+#: Fitted on all windows of about so many rows at most, equal shares for the languages.
+TRAIN_ROWS = 3000
 WINDOW = 256
 WIDTHS = (2, 3, 4, 5)
 FILTERS = 8
 DEPTH = 8
-EPOCHS = 4
+EPOCHS = 2
 BATCH = 64
 RATE = 0.02
 SEED = 5
@@ -76,7 +76,7 @@ def window_rows(text: bytes) -> np.ndarray:
 
 
 def train(texts: list[bytes], classes: np.ndarray, languages: list[str]) -> Network:
-    """Adam over batches of windows; the gradient of max pooling goes to the place of the maximum."""
+    """Adam over batches of all texts' windows; the gradient of max pooling goes to the place of the maximum."""
     rng = np.random.default_rng(SEED)
     mask = _filter_mask()
     net = Network(
@@ -87,7 +87,8 @@ def train(texts: list[bytes], classes: np.ndarray, languages: list[str]) -> Netw
         rng.normal(0, 0.1, (mask.shape[1], len(languages))).astype(np.float32),
         np.zeros(len(languages), dtype=np.float32),
     )
-    windows = np.concatenate([window_rows(t)[:1] for t in texts])
+    rows = [window_rows(t) for t in texts]
+    windows, classes = np.concatenate(rows), np.repeat(classes, [len(r) for r in rows])
     names = ("embedding", "filters", "bias", "output", "output_bias")
     moments = {n: [np.zeros_like(getattr(net, n)), np.zeros_like(getattr(net, n))] for n in names}
     step = 0
@@ -133,7 +134,7 @@ def train(texts: list[bytes], classes: np.ndarray, languages: list[str]) -> Netw
 
 
 def fit(docs: DataFrame, training: Column, max_rows: int = TRAIN_ROWS) -> Network | None:
-    """A network fitted on one window, drawn by the id, of about ``max_rows`` rows; None without labelled text."""
+    """A network fitted on the whole texts of about ``max_rows`` rows, which the driver holds; None without labelled text."""
     known = docs.where(training & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
     counts = {r.lang: r["count"] for r in known.select("lang").groupBy("lang").count().collect()}
     if not counts:
@@ -141,17 +142,14 @@ def fit(docs: DataFrame, training: Column, max_rows: int = TRAIN_ROWS) -> Networ
     languages = sorted(counts)
     each = max_rows / len(languages)
     share = F.element_at(F.create_map(*(x for k in languages for x in (F.lit(k), F.lit(min(1.0, each / counts[k]))))), F.col("lang"))
-    size = F.octet_length("text")
-    start = F.pmod(F.xxhash64("doc_id", F.lit("window")), F.greatest(size - WINDOW, F.lit(0)) + 1).cast("int")
-    window = F.substring(F.col("text").cast("binary"), start + 1, F.lit(WINDOW))
     # One row an id, however often it is repeated: the collected rows are bounded by ``max_rows``.
-    rows = known.where(share_of(F.col("doc_id"), share)).select("doc_id", F.struct("lang", window.alias("window")).alias("row"))
+    rows = known.where(share_of(F.col("doc_id"), share)).select("doc_id", F.struct("lang", text_bytes(F.col("text")).alias("text")).alias("row"))
     rows = rows.groupBy("doc_id").agg(F.min("row").alias("row")).select("doc_id", "row.*").collect()
-    rows = sorted((r.doc_id, r.lang, bytes(r.window)) for r in rows)
+    rows = sorted((r.doc_id, r.lang, bytes(r.text)) for r in rows)
     classes = np.array([languages.index(lang) for _, lang, _ in rows], dtype=np.int64)
     if not rows:
         return None
-    return train([w.translate(_LOWER) for _, _, w in rows], classes, languages)
+    return train([t.translate(_LOWER) for _, _, t in rows], classes, languages)
 
 
 def has_letter(text: bytes) -> bool:

@@ -91,6 +91,34 @@ def test_toxicity_gradients():
         assert (loss(up) - loss(down)) / 2e-2 == pytest.approx(recorder.gradients[name][at], abs=2e-3)
 
 
+def test_toxicity_is_learned_from_whole_long_texts(spark):
+    # What marks a text stands in a few of its over 64 windows, anywhere.
+    rows = []
+    for i in range(240):
+        words = text(i, 900 + i % 300).split()
+        if i % 2:
+            at = (i * 211) % len(words)
+            words[at:at] = ["vilefoo", "vilebar", "grimq"] * 4
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], SCHEMA)
+    labels = spark.createDataFrame([(i, None, i % 2) for i, _ in rows], LABELS)
+    held = [r for r in toxicity.toxicity_scores(docs, labels).collect() if r.held_out]
+    assert sum((r.score >= toxicity.THRESHOLD) == bool(r.doc_id % 2) for r in held) >= 0.95 * len(held) > 0
+
+
+def test_toxicity_goes_back_through_the_highest_windows(toxic_weights):
+    clean = text(3, 2000)
+    words = toxicity.Words([f"{clean} vilefoo".encode(), b"", clean.encode(), b"few words"], toxic_weights["known"])
+    ids, owner = words.windows()
+    vectors, _ = toxicity._vectors(words, toxic_weights)
+    places = toxicity._highest(words, ids, owner, vectors, toxic_weights)
+    assert np.bincount(owner[places]).tolist() == [toxicity.LEARNED, 0, toxicity.LEARNED, 1]
+    logits = toxicity.window_logits(words, ids, toxic_weights, tuple(toxicity._projected(vectors, toxic_weights, way) for way in "fb"))
+    for k in (0, 2):
+        left = np.setdiff1d(np.flatnonzero(owner == k), places)
+        assert logits[places[owner[places] == k]].min() >= logits[left].max() - 1e-5
+
+
 def test_toxicity_rows(spark, toxic_weights):
     docs = with_clashes(odd_docs(spark))
     labels = spark.createDataFrame(ODD_LABELS, LABELS)
@@ -201,6 +229,13 @@ def test_languages_held_out(spark):
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.97 * len(held)
 
 
+def test_languages_are_learned_from_all_windows(spark):
+    # The first 8 KB of all texts are the same; only what follows tells the languages apart.
+    rows = [(i, f"{'same old words ' * 550}{t}", lang, "a", 0) for i, t, lang, *_ in speech_corpus(240)]
+    held = [r for r in language_id.languages(spark.createDataFrame(rows, SCHEMA)).collect() if r.held_out]
+    assert sum(r.lang_pred == rows[r.doc_id][2] for r in held) >= 0.9 * len(held) > 0
+
+
 def test_windows_cover_a_text_and_batches_do_not_matter():
     for size in (0, 1, 3, 4, 5, 255, 256, 257, 508, 509, 2000):
         value = bytes(1 + i % 250 for i in range(size))
