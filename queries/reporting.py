@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import UTC, datetime
+
 from pyspark.sql import functions as F
 
 from queries.corpora import VARIANT_SQL, event_requests, landed_events, publisher_records, table, text
@@ -19,7 +22,9 @@ from sheaf.operators.reports import (
     run_report,
 )
 from sheaf.operators.routing import publisher_name, route_of, split_by_publisher, split_reports
-from sheaf.plans.staging import checkpointed
+from sheaf.operators.summaries import DISTINCT_ERROR, RANK_ERROR, estimates, merge_summaries
+from sheaf.plans.staging import checkpointed, remove, shared_folder
+from sheaf.sinks.snapshots import publish, read_summaries
 
 
 @query(f"""
@@ -154,3 +159,59 @@ def outcome_levels(spark, sf_dir):
         repo.alias("repo"), status_outcome(status, F.lit(None)).alias("outcome"), text("https://x/", event % 97).alias("url")
     )
     return report_levels(pages.withColumn("route", route_of(F.col("repo"))))
+
+
+@query("""
+WITH rows AS (SELECT 'flag-' || l_returnflag AS file_name, l_orderkey // 8 AS o, l_partkey % 100 AS p,
+                     CASE WHEN l_partkey % 3 = 0 THEN 'hot' ELSE 'part-' || l_partkey END AS item FROM lineitem)
+SELECT file_name, count(*)::BIGINT AS n_rows, count(DISTINCT (o, p))::BIGINT AS n_distinct, true AS distinct_within,
+       true AS quantiles_within, true AS counts_within, 'hot' AS hottest, 2::BIGINT AS n_runs
+FROM rows GROUP BY file_name
+""")
+def published_summaries(spark, sf_dir):
+    # Two runs keep summaries; those added up are held against exact figures over the rows of both.
+    root = f"{shared_folder(spark)}/summaries-{uuid.uuid4()}"
+    order, part = F.col("l_orderkey"), F.col("l_partkey")
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.lit("r").alias("repo"),
+        text("flag-", F.col("l_returnflag")).alias("file_name"),
+        order.alias("url_pos"),
+        text('{"order":', F.floor(order / 8), ',"part":', part % 100, "}").alias("entry"),
+        F.when(part % 3 == 0, "hot").otherwise(text("part-", part)).alias("item"),
+    )
+    try:
+        for day in (1, 2):
+            outputs = rows.where(part % 2 == day - 1)
+            files = outputs.groupBy("repo", "file_name").agg(F.count(F.lit(1)).alias("row_count"))
+            files = files.withColumns({"url": F.lit("http://r"), "published": F.lit(True)})
+            errors = spark.createDataFrame([], "problem string")
+            publish(outputs, files, errors, f"{root}/versions", datetime(2024, 1, day, tzinfo=UTC), frequent=F.col("item"), measure=F.col("url_pos"))
+        kept = read_summaries(spark, f"{root}/versions")
+        runs = kept.groupBy("file_name").agg(F.count_distinct("run").alias("n_runs"))
+        found = checkpointed(estimates(merge_summaries(kept, ["file_name"]), ["file_name"], (0.5, 0.99)).join(runs, "file_name"))
+    finally:
+        remove(spark, root)
+    # What is estimated is a row for each file, small enough for a broadcast; the rest aggregates before it shuffles.
+    marks = found.select("file_name", *(F.col("quantiles")[i].alias(f"q{i}") for i in range(2)))
+    exact = rows.join(marks, "file_name").groupBy("file_name").agg(
+        F.count_distinct("entry").alias("distinct"),
+        *(F.avg((F.col("url_pos") < F.col(f"q{i}")).cast("int")).alias(f"below{i}") for i in range(2)),
+        *(F.avg((F.col("url_pos") <= F.col(f"q{i}")).cast("int")).alias(f"upto{i}") for i in range(2)),
+    )
+    top = found.select("file_name", "count_error", F.posexplode("frequent").alias("place", "top")).select("file_name", "count_error", "place", "top.*")
+    counts = rows.groupBy("file_name", "item").agg(F.count(F.lit(1)).alias("n"))
+    counted = top.join(counts, ["file_name", "item"], "left").groupBy("file_name").agg(
+        F.every(F.coalesce(F.abs(F.col("count") - F.col("n")) <= F.col("count_error"), F.lit(False))).alias("counts_within"),
+        F.min_by("item", "place").alias("hottest"),
+    )
+    ranks = [(F.col(f"below{i}") <= q + RANK_ERROR) & (F.col(f"upto{i}") >= q - RANK_ERROR) for i, q in enumerate((0.5, 0.99))]
+    return found.join(exact, "file_name").join(counted, "file_name").select(
+        "file_name",
+        "n_rows",
+        F.col("distinct").alias("n_distinct"),
+        (F.abs(F.col("n_distinct") - F.col("distinct")) <= DISTINCT_ERROR * F.col("distinct")).alias("distinct_within"),
+        (ranks[0] & ranks[1]).alias("quantiles_within"),
+        "counts_within",
+        "hottest",
+        "n_runs",
+    )

@@ -7,6 +7,7 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheaf.operators.summaries import summarize
 from sheaf.sinks.documents import POSITION
 
 SNAPSHOTS = (
@@ -63,11 +64,14 @@ def publish(
     root: str,
     harvested_at: datetime,
     producer: str = "sheaf",
+    frequent: Column | None = None,
+    measure: Column | None = None,
 ) -> None:
     """Append one snapshot of the published files under ``root``.
 
     Entries are written first, then the manifest, and last the single row that makes the run visible:
-    readers start from there, so a run that fails half-way shows nothing, and can be repeated.
+    readers start from there, so a run that fails half-way shows nothing, and can be repeated. With ``frequent``, an
+    expression over ``outputs``, a summary of each file is kept as well (see ``sheaf.operators.summaries``).
     """
     error = run_errors.limit(1).collect()
     if error:
@@ -85,18 +89,18 @@ def publish(
         .mode("overwrite")
         .parquet(f"{root}/data")
     )
-    rows = snapshot_rows(files.where("published"), moment, producer)
-    (
-        rows.withColumn("run", F.lit(_folder(harvested_at)))
-        .write.partitionBy("run")
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(f"{root}/manifest")
-    )
+    if frequent is not None:
+        _write_run(summarize(data, frequent, measure), f"{root}/summaries", harvested_at)
+    _write_run(snapshot_rows(files.where("published"), moment, producer), f"{root}/manifest", harvested_at)
     run = outputs.sparkSession.range(1).select(F.lit(_folder(harvested_at)).alias("run"))
     run.write.mode("append").parquet(f"{root}/runs")
 
 
+def _write_run(rows: DataFrame, path: str, harvested_at: datetime) -> None:
+    named = rows.withColumn("run", F.lit(_folder(harvested_at)))
+    named.write.partitionBy("run").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
+
 def _folder(harvested_at: datetime) -> str:
     utc = harvested_at.astimezone(UTC) if harvested_at.tzinfo else harvested_at
     return utc.strftime("%Y%m%dT%H%M%S%f")
@@ -109,6 +113,13 @@ def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
     return manifest.join(runs, "run", "left_semi").drop("run")
 
 
+def read_summaries(spark: SparkSession, root: str) -> DataFrame:
+    """The summaries ``(repo, file_name, run, ...)`` of every run that was published as a whole and keeps them."""
+    runs = spark.read.schema("run STRING").parquet(f"{root}/runs")
+    kept = spark.read.parquet(f"{root}/summaries").withColumn("run", F.col("run").cast("string"))
+    return kept.join(runs.distinct(), "run", "left_semi")
+
+
 def read_snapshot(
     spark: SparkSession, root: str, harvested_at: datetime, file_name: str
 ) -> DataFrame:
