@@ -251,3 +251,20 @@ def test_constants_of_other_fields_and_nulls_further_down(spark):
     records = spark.createDataFrame(rows, "repo string, url_pos int, entry string").withColumn("item_pos", F.lit(0))
     got = {r.url_pos: json.loads(r.entry)["name"] for r in reshape(records).collect()}
     assert got == {0: "a", 1: {"b": [{}], "s": ":null,"}, 2: "c"}
+
+
+def test_records_of_joined_rows_are_dealt_to_many_tasks(spark, tmp_path, monkeypatch):
+    from queries.corpora import people_records
+    from sheaf.sources import splits
+
+    spark.range(300).selectExpr("id AS o_orderkey", "id % 20 AS o_custkey", "'1-URGENT' AS o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(20).selectExpr("id AS c_custkey", "'name' AS c_name", "'segment' AS c_mktsegment").write.parquet(f"{tmp_path}/customer.parquet")
+    monkeypatch.setattr(splits, "TASK_ROWS", 50, raising=False)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # Behind a shuffled join, small partitions were put together again.
+        sizes = people_records(spark, str(tmp_path)).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert sum(sizes) == 300 and max(sizes) <= 60
