@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sheaf.functions.batches import bound_batches
 from sheaf.functions.json import with_canonical, with_records
 from sheaf.operators.fetch import LISTING, error_scope
 from sheaf.operators.pull import Reader, json_ids, json_records, xml_texts
@@ -145,6 +146,7 @@ def parse_listings(
     followed), ``scope`` (``repo``, ``run`` or NULL) and its ``cause``, and drops ``content``. If the frame has an
     ``outcome``, rows that were not fetched keep that error.
     """
+    bound_batches(listings.sparkSession)
     outcome = F.col("outcome") if "outcome" in listings.columns else F.lit("ok")
     df = listings.withColumn("_outcome", outcome).withColumn("_content", F.col("content"))
     fetched = F.col("_outcome") == "ok"
@@ -248,6 +250,7 @@ def listing_rows(
     ``member``: a URL or the canonical text of a record. Members of a listing that is malformed, lacks its key, or whose
     URLs no extractor would read give no rows. One pass, no shuffle; meant to be staged, as both kinds are read after it.
     """
+    bound_batches(listings.sparkSession)
     outcome = F.col("outcome") if "outcome" in listings.columns else F.lit("ok")
     kept = [c for c in listings.columns if c != "content"]
     inline = [key for key, members in readers.items() if members.inline]

@@ -2,6 +2,7 @@ import json
 import time
 import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,16 @@ def test_a_large_listing_is_quick(spark):
     assert sorted((r.name, r.n, r.last) for r in found) == [("r", 200_000, 199_999), ("u", 200_000, 199_999)]
     print("seconds for both", time.monotonic() - started)
     assert time.monotonic() - started < 8
+
+
+def test_long_listings_reach_python_in_small_batches(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    listing_rows(spark.createDataFrame([("r", "publisso", None, "[1]")], SCHEMA)).count()
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["size"])
+
+    texts = spark.range(2000).coalesce(1).select(F.repeat(F.col("id").cast("string"), 5000).alias("content"))
+    found = [r.size for r in texts.mapInArrow(sizes, "size long").collect()]
+    assert len(found) > 3 and max(found) < 6_000_000
