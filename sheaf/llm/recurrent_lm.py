@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.llm.recurrent import Adagrad, backward, forward, traced
-from sheaf.llm.samples import share_of
 from sheaf.llm.text import SPACED, doc_hash, text_bytes, word_hashes
 from sheaf.plans.staging import checkpointed
 
@@ -24,11 +23,9 @@ CLASSES = 64
 FREQUENT_WORDS = 1 << 18
 WIDTH, DEPTH = 32, 24
 #: Steps between two cuts of back-propagation, and sequences side by side, in training and in scoring.
-WINDOW, SEQUENCES, SCORED = 16, 96, 384
-#: The network learns from about the square root of this times the corpus' tokens, so from more of a larger corpus.
-SAMPLE_SCALE = 250_000
+WINDOW, SEQUENCES, SCORED = 16, 192, 384
 #: A round trains shards of about so many tokens from the same start, and averages their weights.
-SHARD_TOKENS, ROUNDS = 150_000, 3
+SHARD_TOKENS, ROUNDS = 300_000, 3
 #: A training text is learned from in pieces of so many tokens.
 PIECE = 512
 RATE = 0.06
@@ -301,7 +298,7 @@ def corpus_vocabulary(counts: DataFrame, frequent_words: int = FREQUENT_WORDS, h
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, shard_tokens: int = SHARD_TOKENS) -> Weights:
-    """Weights from rounds of parallel training on a sample of ``docs`` that grows with their tokens.
+    """Weights from rounds of parallel training; each text of ``docs`` is learned from in one of them.
 
     A round's texts are dealt to shards by a hash. Each shard is trained in one task, from the last round's weights
     and its texts in order of a hash, so a task that is run again gives the same; the shards' weights are averaged
@@ -311,8 +308,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, shard_t
     if not vocabulary.tokens:
         return weights
     spark = docs.sparkSession
-    wanted = min(float(vocabulary.tokens), (SAMPLE_SCALE * vocabulary.tokens) ** 0.5)
-    shards = max(1, round(wanted / rounds / shard_tokens))
+    shards = max(1, round(vocabulary.tokens / rounds / shard_tokens))
     shared_words = spark.sparkContext.broadcast(vocabulary)
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,8 +317,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, shard_t
             lists = pa.array([x.to_numpy() for x in ids], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["order", "ids"])
 
-    chosen = docs.where(share_of(F.col("doc_id"), wanted / vocabulary.tokens))
-    texts = chosen.select(F.xxhash64("doc_id", "text").alias("order"), text_bytes(F.col("text"))).mapInArrow(numbered, "order long, ids array<int>")
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("order"), text_bytes(F.col("text"))).mapInArrow(numbered, "order long, ids array<int>")
     texts = checkpointed(texts)
     for k in range(rounds):
         start = spark.sparkContext.broadcast(weights)

@@ -117,3 +117,14 @@ def test_odd_rows(spark):
     assert lm.lm_scores(no_docs(spark), F.lit(True)).collect() == []
     untrained = lm.lm_scores(docs, F.lit(False)).collect()
     assert all(r.base_score == pytest.approx(0) and r.n_known == 0 and r.train_tokens == 0 for r in untrained)
+
+
+def test_every_training_text_is_learned_from(spark):
+    common = " ".join(f"w{k % 40}" for k in range(200))
+    rows = spark.range(3000).selectExpr("id AS doc_id", f"concat('own', id, ' {common}') AS text").repartition(4)
+    vocabulary = lm.corpus_vocabulary(lm.token_counts(rows))
+    assert vocabulary.tokens == 3000 * 202 and vocabulary.size == 3041
+    trained = lm.train(rows, vocabulary)
+    # A word's vector moves where its text is learned from, unless in the first step, which has only zeros behind it.
+    moved = (trained["embed"] != lm.new_weights(vocabulary)["embed"]).any(axis=1)
+    assert moved[: vocabulary.size].mean() > 0.9
