@@ -131,6 +131,19 @@ def test_toxicity_rows(spark, toxic_weights):
     assert toxicity.toxicity_scores(docs, spark.createDataFrame([], LABELS)).count() == docs.count()
 
 
+def test_toxicity_gets_texts_in_small_batches(spark, toxic_weights):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["size"])
+
+    docs = spark.range(2000).coalesce(1).select(F.col("id").alias("doc_id"), F.repeat(F.col("id").cast("string"), 5000).alias("text"))
+    for scored in (toxicity.score, toxicity.drop_toxic):
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        scored(docs, toxic_weights)
+        found = [r.size for r in docs.select("text").mapInArrow(sizes, "size long").collect()]
+        assert len(found) > 3 and max(found) < 6_000_000
+
+
 def quality_corpus(n=400):
     rows = []
     for i in range(n):
