@@ -76,25 +76,115 @@ def backward(errors: np.ndarray, trace: Trace, weights: np.ndarray) -> tuple[np.
     return into, gradient
 
 
+class Columns:
+    """The same layer where many sequences go side by side: arrays are (steps, width, rows), so that each gate is one block."""
+
+    @staticmethod
+    def projected(inputs: np.ndarray, into: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        """The input's part of the new value, and half of that of the gates, (steps, 3 width, rows), of inputs (steps, rows, depth)."""
+        half = np.repeat(np.array([0.5, 0.5, 1], dtype=np.float32), len(bias) // 3)
+        found = np.matmul((into * half).T, inputs.transpose(0, 2, 1))
+        found += (bias * half)[:, None]
+        return found
+
+    @staticmethod
+    def traced(inputs: np.ndarray, state: np.ndarray, weights: np.ndarray, keep: bool = True) -> tuple[np.ndarray, Trace]:
+        """States after each step of ``projected`` inputs, and what the backward pass needs (without ``keep`` of the last step only).
+
+        ``state`` is (width, rows).
+        """
+        steps, _, rows = inputs.shape
+        width = len(state)
+        across = np.ascontiguousarray(weights.T)
+        # The logistic function by tanh, which needs no bounds: of half the sum.
+        across[: 2 * width] *= 0.5
+        states = np.empty((steps + 1, width, rows), dtype=np.float32)
+        states[0] = state
+        products, gates, fresh = (np.empty((steps if keep else 1, k * width, rows), dtype=np.float32) for k in (3, 2, 1))
+        for t in range(steps):
+            at = t if keep else 0
+            product, gate, new, after = products[at], gates[at], fresh[at], states[t + 1]
+            np.matmul(across, states[t], out=product)
+            np.add(inputs[t, : 2 * width], product[: 2 * width], out=gate)
+            np.tanh(gate, out=gate)
+            gate *= 0.5
+            gate += 0.5
+            np.multiply(gate[:width], product[2 * width :], out=new)
+            new += inputs[t, 2 * width :]
+            np.tanh(new, out=new)
+            np.subtract(states[t], new, out=after)
+            after *= gate[width:]
+            after += new
+        return states[1:], Trace(states[:-1], gates, fresh, products[:, 2 * width :])
+
+    @staticmethod
+    def backward(errors: np.ndarray, trace: Trace, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients of the inputs and of the weights, from those of the states; cut at the first step."""
+        steps, width, rows = errors.shape
+        into = np.empty((steps, 3 * width, rows), dtype=np.float32)
+        gradient = np.zeros((3 * width, width), dtype=np.float32)
+        through = np.empty((3 * width, rows), dtype=np.float32)
+        carried, error, left, kept = (np.zeros((width, rows), dtype=np.float32) for _ in range(4))
+        for t in range(steps - 1, -1, -1):
+            reset, update = trace.gates[t, :width], trace.gates[t, width:]
+            new, before = trace.new[t], trace.before[t]
+            d_reset, d_update, d_new = (into[t, k * width : (k + 1) * width] for k in range(3))
+            np.add(errors[t], carried, out=error)
+            np.subtract(np.float32(1), update, out=left)
+            left *= error
+            np.multiply(new, new, out=kept)
+            np.subtract(np.float32(1), kept, out=kept)
+            np.multiply(left, kept, out=d_new)
+            np.subtract(before, new, out=kept)
+            kept *= update
+            np.multiply(left, kept, out=d_update)
+            through[width : 2 * width] = d_update
+            inner = through[2 * width :]
+            np.multiply(d_new, reset, out=inner)
+            np.subtract(np.float32(1), reset, out=kept)
+            kept *= inner
+            np.multiply(kept, trace.inner[t], out=d_reset)
+            through[:width] = d_reset
+            gradient += through @ before.T
+            np.matmul(weights, through, out=carried)
+            error *= update
+            carried += error
+        return into, gradient.T
+
+
 class Adagrad:
     """Parameters by name, each with its sum of squared gradients; rows of tables may be updated alone."""
 
     def __init__(self, parameters: dict[str, np.ndarray], rate: float):
         self.parameters, self.rate = parameters, rate
         self.squares = {k: np.full_like(v, 1e-4) for k, v in parameters.items()}
+        self.scratch: dict[str, np.ndarray] = {}
 
     def apply(self, gradients: dict[str, np.ndarray], limit: float = 5.0) -> None:
+        """Changes the gradients as well."""
         for name, gradient in gradients.items():
-            np.clip(gradient, -limit, limit, out=gradient)
-            self.squares[name] += gradient * gradient
-            self.parameters[name] -= self.rate * gradient / np.sqrt(self.squares[name])
+            if not -limit <= gradient.min() <= gradient.max() <= limit:
+                np.clip(gradient, -limit, limit, out=gradient)
+            squares, roots = self.squares[name], self.scratch.setdefault(name, np.empty_like(self.squares[name]))
+            np.multiply(gradient, gradient, out=roots)
+            squares += roots
+            np.sqrt(squares, out=roots)
+            gradient *= self.rate
+            gradient /= roots
+            self.parameters[name] -= gradient
 
     def apply_rows(self, name: str, rows: np.ndarray, gradient: np.ndarray) -> None:
         """``gradient[i]`` is of row ``rows[i]``, which may repeat."""
         if not len(rows):
             return
+        # Numbers of 16 bits are sorted by radix.
+        rows = rows.astype(np.uint16) if len(self.parameters[name]) <= 1 << 16 else rows
         order = np.argsort(rows, kind="stable")
-        found, first = np.unique(rows[order], return_index=True)
-        total = np.add.reduceat(gradient[order], first, axis=0)
-        self.squares[name][found] += total * total
-        self.parameters[name][found] -= self.rate * total / np.sqrt(self.squares[name][found])
+        ordered = rows[order]
+        first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        found = ordered[first]
+        total = np.add.reduceat(gradient.take(order, axis=0), first, axis=0)
+        squares = self.squares[name].take(found, axis=0)
+        squares += total * total
+        self.squares[name][found] = squares
+        self.parameters[name][found] = self.parameters[name].take(found, axis=0) - self.rate * total / np.sqrt(squares)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -12,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.recurrent import Adagrad, backward, forward, traced
+from sheaf.llm.recurrent import Adagrad, Columns
 from sheaf.llm.text import SPACED, doc_hash, text_bytes, word_hashes
 from sheaf.plans.staging import checkpointed
 
@@ -24,6 +25,8 @@ FREQUENT_WORDS = 1 << 18
 WIDTH, DEPTH = 32, 24
 #: Steps between two cuts of back-propagation, and sequences side by side, in training and in scoring.
 WINDOW, SEQUENCES, SCORED = 16, 192, 384
+#: States that wait for their softmax, in scoring.
+HELD = 8192
 #: A round trains shards of about so many tokens from the same start, and averages their weights.
 SHARD_TOKENS, ROUNDS = 300_000, 3
 #: A training text is learned from in pieces of so many tokens.
@@ -62,9 +65,23 @@ class Vocabulary:
 
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place among the frequent words (-1: not there) and number in the head of each word."""
-        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        known = self.hashes[place] == hashes
-        return np.where(known, place, -1), np.where(known, self.head[place], self.size)
+        shift, starts, bounded, numbers = self._table
+        place = starts.take(hashes >> shift)
+        # Hashes are spread evenly, so a word stands at or just behind the first place with its leading bits.
+        below = np.flatnonzero(bounded.take(place) < hashes)
+        while len(below):
+            place[below] += 1
+            below = below[bounded.take(place[below]) < hashes[below]]
+        known = (bounded.take(place) == hashes) & (place < len(self.hashes))
+        return np.where(known, place, -1), np.where(known, numbers.take(place), self.size)
+
+    @cached_property
+    def _table(self) -> tuple[np.uint64, np.ndarray, np.ndarray, np.ndarray]:
+        """Bits to drop for the leading ones, first place with each of these, and hashes and numbers with one more at the end."""
+        bits = len(self.hashes).bit_length() + 2
+        shift = np.uint64(64 - bits)
+        starts = np.searchsorted(self.hashes, np.arange(1 << bits, dtype=np.uint64) << shift)
+        return shift, starts, np.append(self.hashes, np.uint64((1 << 64) - 1)), np.append(self.head, self.size)
 
 
 def build_vocabulary(hashes: np.ndarray, counts: np.ndarray, tokens: int, types: int, head_words: int = HEAD_WORDS, classes: int = CLASSES) -> Vocabulary:
@@ -91,61 +108,142 @@ Weights = dict[str, np.ndarray]
 
 
 def new_weights(vocabulary: Vocabulary) -> Weights:
-    """The model starts as the smoothed unigram model: the biases hold it."""
+    """The model starts as the smoothed unigram model: the biases, the last column of ``classes`` and ``words``, hold it."""
     rng = np.random.default_rng(SEED)
     size, classes = vocabulary.size, len(vocabulary.bounds) - 1
     counts = vocabulary.head_counts + 0.5
     mass = np.append(np.add.reduceat(counts, vocabulary.bounds[:-1]), vocabulary.tail_mass)
     drawn = lambda *shape: (rng.normal(0, 1, shape) * shape[0] ** -0.5).astype(np.float32)
+    with_bias = lambda shape, bias: np.concatenate([np.zeros(shape), bias[:, None]], axis=1).astype(np.float32)
     return {
         "embed": (rng.normal(0, 0.5, (size + 1, DEPTH))).astype(np.float32),
         "into": drawn(DEPTH, 3 * WIDTH),
         "into_bias": np.zeros(3 * WIDTH, dtype=np.float32),
         "recur": drawn(WIDTH, 3 * WIDTH),
-        "classes": np.zeros((WIDTH, classes + 1), dtype=np.float32),
-        "classes_bias": np.log(mass / mass.sum()).astype(np.float32),
-        "words": np.zeros((WIDTH, size), dtype=np.float32),
-        "words_bias": np.log(counts).astype(np.float32),
+        "classes": with_bias((classes + 1, WIDTH), np.log(mass / mass.sum())),
+        "words": with_bias((size, WIDTH), np.log(counts)),
     }
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-    return logits
+#: Logits beyond this are shifted before their exponentials are taken in single precision.
+SAFE = 60
 
 
-def _by_class(targets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """The class of each target, the tail's last, and the places of each class's targets."""
-    found = np.searchsorted(bounds, targets, side="right") - 1
-    order = np.argsort(found, kind="stable")
-    edges = np.searchsorted(found[order], np.arange(len(bounds)))
-    return found, [(c, order[edges[c] : edges[c + 1]]) for c in range(len(bounds) - 1) if edges[c] < edges[c + 1]]
+class _Softmax:
+    """Logits and probabilities of the targets' classes, and of the words of each one's class.
+
+    Targets go by class, the tail's last (``order``), so that each class is a slice. ``classes`` has a column for each
+    target. The logits of all classes' words stand one after the other in one array; each target of the head has
+    ``sizes`` of them from ``starts``.
+    """
+
+    def __init__(self, states: np.ndarray, targets: np.ndarray, w: Weights, bounds: np.ndarray):
+        """``states`` (rows, width + 1) end with a one, for the biases; rows with a target of -1 count for nothing."""
+        self.order = np.flatnonzero(targets >= 0)
+        found = (np.searchsorted(bounds, targets[self.order], side="right") - 1).astype(np.uint16)
+        by_class = np.argsort(found, kind="stable")
+        self.order, self.found = self.order[by_class], found[by_class]
+        self.rows, targets, self.states = len(targets), targets[self.order], states.take(self.order, axis=0)
+        edges = np.searchsorted(self.found, np.arange(len(bounds)))
+        counts, sizes = np.diff(edges), np.diff(bounds)
+        ends = np.cumsum(counts * sizes)
+        self.sizes = np.repeat(sizes, counts)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.places = self.starts + targets[: edges[-1]] - np.repeat(bounds[:-1], counts)
+        self.classes = w["classes"] @ self.states.T
+        self.words = np.empty(int(ends[-1]), dtype=np.float32)
+        rows = zip(edges[:-1].tolist(), edges[1:].tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), ends.tolist(), strict=True)
+        #: Of each class its targets, its words and their logits.
+        self.groups = [
+            (slice(start, stop), slice(low, high), self.words[end - (stop - start) * (high - low) : end].reshape(stop - start, high - low))
+            for start, stop, low, high, end in rows
+            if start < stop
+        ]
+        for at, own, logits in self.groups:
+            np.matmul(self.states[at], w["words"][own].T, out=logits)
+        self._shift()
+
+    def _shift(self) -> None:
+        if max(self.classes.max(initial=0), -self.classes.min(initial=0)) > SAFE:
+            self.classes -= self.classes.max(axis=0)
+        if max(self.words.max(initial=0), -self.words.min(initial=0)) > SAFE:
+            self.words -= np.repeat(np.maximum.reduceat(self.words, self.starts), self.sizes)
+
+    def _exponentials(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of the exponentials, which replace the logits."""
+        np.exp(self.classes, out=self.classes)
+        np.exp(self.words, out=self.words)
+        inner = np.add.reduceat(self.words, self.starts) if len(self.starts) else np.zeros(0, dtype=np.float32)
+        return np.ones(len(self.classes), dtype=np.float32) @ self.classes, inner
+
+    def log_likelihoods(self) -> np.ndarray:
+        """Natural log of the probability of each row's target; logits are used up."""
+        part = self.classes[self.found, np.arange(len(self.found))].astype(np.float64)
+        head = self.words[self.places]
+        sums, inner = self._exponentials()
+        part -= np.log(sums)
+        part[: len(head)] += head - np.log(inner)
+        result = np.zeros(self.rows)
+        result[self.order] = part
+        return result
+
+    def gradients(self, w: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the mean loss by each row's state, by the classes and by the words; logits are used up."""
+        n = np.float32(max(1, len(self.found)) ** -1)
+        sums, inner = self._exponentials()
+        self.classes *= n / sums
+        self.classes[self.found, np.arange(len(self.found))] -= n
+        self.words *= np.repeat(n / inner, self.sizes)
+        self.words[self.places] -= n
+        # After the targets' a row of zeros, for rows without a target.
+        back, of_head = np.zeros((len(self.found) + 1, WIDTH), dtype=np.float32), np.empty((len(self.sizes), WIDTH), dtype=np.float32)
+        np.matmul(self.classes.T, w["classes"][:, :-1], out=back[:-1])
+        words = np.zeros_like(w["words"])
+        for at, own, error in self.groups:
+            np.matmul(error, w["words"][own, :-1], out=of_head[at])
+            np.matmul(error.T, self.states[at], out=words[own])
+        back[: len(of_head)] += of_head
+        places = np.full(self.rows, len(self.found))
+        places[self.order] = np.arange(len(self.found))
+        return back.take(places, axis=0), self.classes @ self.states, words
+
+
+def _rows(states: np.ndarray) -> np.ndarray:
+    """A row for each step and sequence of ``states`` (steps, width, sequences); a one, for the biases, ends each."""
+    steps, width, sequences = states.shape
+    rows = np.ones((steps, sequences, width + 1), dtype=np.float32)
+    rows[:, :, :width] = states.transpose(0, 2, 1)
+    return rows.reshape(-1, width + 1)
 
 
 def log_likelihoods(states: np.ndarray, targets: np.ndarray, w: Weights, bounds: np.ndarray) -> np.ndarray:
     """Natural log of the probability of each target after its state; of the tail class for a word beyond the head."""
-    found, groups = _by_class(targets, bounds)
-    result = _log_softmax(states @ w["classes"] + w["classes_bias"])[np.arange(len(targets)), found].astype(np.float64)
-    for c, at in groups:
-        low, high = bounds[c], bounds[c + 1]
-        if high - low > 1:
-            logits = _log_softmax(states[at] @ w["words"][:, low:high] + w["words_bias"][low:high])
-            result[at] += logits[np.arange(len(at)), targets[at] - low]
-    return result
+    return _Softmax(_rows(states.T[None]), targets, w, bounds).log_likelihoods()
 
 
-def _grid(texts: list[np.ndarray], start: int, end_id: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Inputs and targets (-1: over) of a window of sequences; each sequence follows an end and ends with one."""
-    steps = np.arange(start, start + window)
-    targets = np.full((len(texts), window), -1, dtype=np.int64)
-    inputs = np.full((len(texts), window), end_id, dtype=np.int64)
-    for i, text in enumerate(texts):
-        part = text[start : start + window]
-        targets[i, : len(part)] = part
-        before = text[max(0, start - 1) : start + window - 1]
-        inputs[i, window - len(steps) + (start == 0) : (start == 0) + len(before)] = before
-    return inputs.T, targets.T
+@dataclass
+class _Sequences:
+    """Sequences side by side, the longest first, each with an end before it."""
+
+    tokens: np.ndarray
+    starts: np.ndarray
+    lengths: np.ndarray
+    end: int
+
+    @classmethod
+    def of(cls, texts: list[np.ndarray], end: int) -> _Sequences:
+        lengths = np.array([len(t) for t in texts], dtype=np.int64)
+        tokens = np.concatenate([x for t in texts for x in ([end], t)]).astype(np.int64, copy=False)
+        return cls(tokens, np.cumsum(lengths + 1) - lengths - 1, lengths, end)
+
+    def window(self, start: int, steps: int) -> tuple[np.ndarray, np.ndarray]:
+        """Inputs and targets (-1: over) of some steps of those that are not over before."""
+        going = int(np.searchsorted(-self.lengths, -start))
+        steps = min(steps, int(self.lengths[0]) - start) if going else 0
+        nth = np.arange(start, start + steps)[:, None]
+        places, inside = self.starts[:going] + nth, nth < self.lengths[:going]
+        inputs = np.where(inside, self.tokens.take(places, mode="clip"), self.end)
+        return inputs, np.where(inside, self.tokens.take(places + 1, mode="clip"), -1)
 
 
 def score_sequences(texts: list[np.ndarray], w: Weights, vocabulary: Vocabulary) -> np.ndarray:
@@ -154,8 +252,7 @@ def score_sequences(texts: list[np.ndarray], w: Weights, vocabulary: Vocabulary)
     Sequences of similar length go side by side; those that are over leave the batch.
     """
     result = np.zeros(len(texts))
-    projected = w["embed"] @ w["into"] + w["into_bias"]
-    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+    order = np.array(sorted(range(len(texts)), key=lambda i: -len(texts[i])), dtype=np.int64)
     waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     held = 0
 
@@ -163,25 +260,25 @@ def score_sequences(texts: list[np.ndarray], w: Weights, vocabulary: Vocabulary)
         nonlocal held
         if waiting:
             states, targets, owners = (np.concatenate(x) for x in zip(*waiting, strict=True))
-            result[:] += np.bincount(owners, log_likelihoods(states, targets, w, vocabulary.bounds), len(result))
+            result[:] += np.bincount(owners, _Softmax(states, targets, w, vocabulary.bounds).log_likelihoods(), len(result))
             waiting.clear()
             held = 0
 
     for first in range(0, len(order), SCORED):
         batch = order[first : first + SCORED]
-        state, start, window = np.zeros((len(batch), WIDTH), dtype=np.float32), 0, 2 * WINDOW
-        while batch:
-            inputs, targets = _grid([texts[i] for i in batch], start, vocabulary.end, window)
-            states = forward(projected[inputs], state, w["recur"])
-            valid = targets >= 0
-            owners = np.broadcast_to(np.array(batch), valid.shape)
-            waiting.append((states[valid], targets[valid], owners[valid]))
-            held += len(waiting[-1][1])
-            if held > 16384:
+        side = _Sequences.of([texts[i] for i in batch], vocabulary.end)
+        state, start = np.zeros((WIDTH, len(batch)), dtype=np.float32), 0
+        inputs, targets = side.window(start, WINDOW)
+        while inputs.size:
+            embedded = w["embed"].take(inputs, axis=0)
+            states, _ = Columns.traced(Columns.projected(embedded, w["into"], w["into_bias"]), state[:, : inputs.shape[1]], w["recur"], keep=False)
+            waiting.append((_rows(states), targets.ravel(), np.tile(batch[: inputs.shape[1]], len(inputs))))
+            held += targets.size
+            if held >= HELD:
                 flush()
-            start += window
-            batch = [i for i in batch if len(texts[i]) > start]
-            state = states[-1, : len(batch)]
+            start += WINDOW
+            state = states[-1]
+            inputs, targets = side.window(start, WINDOW)
     flush()
     return result
 
@@ -194,49 +291,28 @@ def train_shard(texts: list[np.ndarray], w: Weights, vocabulary: Vocabulary, see
     pieces.sort(key=len, reverse=True)
     batches = [pieces[i : i + SEQUENCES] for i in range(0, len(pieces), SEQUENCES)]
     for k in rng.permutation(len(batches)):
-        batch, start = batches[k], 0
-        state = np.zeros((len(batch), WIDTH), dtype=np.float32)
-        while batch:
-            inputs, targets = _grid(batch, start, vocabulary.end, WINDOW)
-            state = _learn(inputs, targets, state, w, vocabulary.bounds, optimizer)
+        side, start = _Sequences.of(batches[k], vocabulary.end), 0
+        state = np.zeros((WIDTH, len(batches[k])), dtype=np.float32)
+        inputs, targets = side.window(start, WINDOW)
+        while inputs.size:
+            state = _learn(inputs, targets, state[:, : inputs.shape[1]], w, vocabulary.bounds, optimizer)
             start += WINDOW
-            batch = [t for t in batch if len(t) > start]
-            state = state[: len(batch)]
+            inputs, targets = side.window(start, WINDOW)
 
 
 def _learn(inputs: np.ndarray, targets: np.ndarray, state: np.ndarray, w: Weights, bounds: np.ndarray, optimizer: Adagrad) -> np.ndarray:
-    embedded = w["embed"][inputs]
-    states, trace = traced(embedded @ w["into"] + w["into_bias"], state, w["recur"])
-    valid = targets >= 0
-    seen, wanted = states[valid], targets[valid]
-    n = np.float32(max(1, len(wanted)) ** -1)
-    found, groups = _by_class(wanted, bounds)
-    error = np.exp(_log_softmax(seen @ w["classes"] + w["classes_bias"]))
-    error[np.arange(len(wanted)), found] -= 1
-    error *= n
-    back = error @ w["classes"].T
-    words, words_bias = np.zeros_like(w["words"]), np.zeros_like(w["words_bias"])
-    for c, at in groups:
-        low, high = bounds[c], bounds[c + 1]
-        if high - low > 1:
-            own = np.exp(_log_softmax(seen[at] @ w["words"][:, low:high] + w["words_bias"][low:high]))
-            own[np.arange(len(at)), wanted[at] - low] -= 1
-            own *= n
-            back[at] += own @ w["words"][:, low:high].T
-            words[:, low:high], words_bias[low:high] = seen[at].T @ own, own.sum(axis=0)
-    errors = np.zeros_like(states)
-    errors[valid] = back
-    into, recur = backward(errors, trace, w["recur"])
-    flat = into.reshape(-1, into.shape[2])
-    rows = flat @ w["into"].T
+    embedded = w["embed"].take(inputs, axis=0)
+    states, trace = Columns.traced(Columns.projected(embedded, w["into"], w["into_bias"]), state, w["recur"])
+    back, classes, words = _Softmax(_rows(states), targets.ravel(), w, bounds).gradients(w)
+    errors = np.ascontiguousarray(back.reshape(*targets.shape, WIDTH).transpose(0, 2, 1))
+    into, recur = Columns.backward(errors, trace, w["recur"])
+    rows = np.matmul(w["into"], into).transpose(0, 2, 1).reshape(-1, DEPTH)
     optimizer.apply(
         {
-            "classes": seen.T @ error,
-            "classes_bias": error.sum(axis=0),
+            "classes": classes,
             "words": words,
-            "words_bias": words_bias,
-            "into": embedded.reshape(-1, DEPTH).T @ flat,
-            "into_bias": flat.sum(axis=0),
+            "into": np.matmul(into, embedded).sum(axis=0).T,
+            "into_bias": into.sum(axis=2).sum(axis=0),
             "recur": recur,
         }
     )

@@ -1,3 +1,5 @@
+import cProfile
+import pstats
 import zlib
 from collections import Counter
 from math import isclose, log10
@@ -7,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sheaf.llm import recurrent_lm as lm
-from sheaf.llm.recurrent import backward, forward, traced
+from sheaf.llm.recurrent import Columns, backward, forward, traced
 from sheaf.llm.text import doc_hash
 from tests.llm.corpora import SCHEMA, no_docs, odd_docs, spaced
 
@@ -128,3 +130,67 @@ def test_every_training_text_is_learned_from(spark):
     # A word's vector moves where its text is learned from, unless in the first step, which has only zeros behind it.
     moved = (trained["embed"] != lm.new_weights(vocabulary)["embed"]).any(axis=1)
     assert moved[: vocabulary.size].mean() > 0.9
+
+
+def test_the_layer_by_columns_is_the_plain_one():
+    rng = np.random.default_rng(4)
+    draw = lambda *shape: rng.normal(size=shape).astype(np.float32)
+    inputs, into, bias, weights = draw(5, 7, 3), draw(3, 12), draw(12), draw(4, 12)
+    state, errors = np.zeros((7, 4), dtype=np.float32), draw(5, 7, 4)
+    states, trace = traced(inputs @ into + bias, state, weights)
+    by_column, kept = Columns.traced(Columns.projected(inputs, into, bias), state.T, weights)
+    assert np.allclose(by_column.transpose(0, 2, 1), states, atol=1e-5)
+    assert np.allclose(Columns.traced(Columns.projected(inputs, into, bias), state.T, weights, keep=False)[0], by_column)
+    for got, want in zip(Columns.backward(errors.transpose(0, 2, 1), kept, weights), backward(errors, trace, weights), strict=True):
+        assert np.allclose(got.transpose(0, 2, 1) if got.ndim == 3 else got, want, atol=1e-4)
+
+
+def test_gradients_of_the_factored_softmax():
+    vocabulary = small_vocabulary()
+    w = {k: v.astype(np.float64) for k, v in random_weights(vocabulary).items()}
+    rng = np.random.default_rng(5)
+    states, targets = rng.normal(size=(1, lm.WIDTH, 9)), np.array([4, 0, 3, -1, 1, 2, 4, 0, 3])
+
+    def loss(states, w):
+        return -lm._Softmax(lm._rows(states), targets, w, vocabulary.bounds).log_likelihoods().sum() / 8
+
+    back, *of_weights = lm._Softmax(lm._rows(states), targets, w, vocabulary.bounds).gradients(w)
+    assert not back[3].any()
+    for array, gradient in ((states, back.T[None]), *zip((w["classes"], w["words"]), of_weights, strict=True)):
+        for at in [tuple(rng.integers(0, n) for n in array.shape) for _ in range(12)]:
+            step = np.zeros_like(array)
+            step[at] = 1e-2
+            near = [(states + s, w) if array is states else (states, {k: v + s if v is array else v for k, v in w.items()}) for s in (step, -step)]
+            assert (loss(*near[0]) - loss(*near[1])) / 2e-2 == pytest.approx(gradient[at], abs=2e-3)
+
+
+@pytest.mark.parametrize("scale", [1, 200])
+def test_large_logits_stay_finite(scale):
+    vocabulary = small_vocabulary()
+    w = {k: v * np.float32(scale) for k, v in random_weights(vocabulary).items()}
+    states = np.random.default_rng(6).normal(size=(5, lm.WIDTH)).astype(np.float32)
+    found = np.array([lm.log_likelihoods(states, np.full(5, k), w, vocabulary.bounds) for k in range(vocabulary.size + 1)])
+    assert np.isfinite(found).all() and np.exp(found).sum(axis=0) == pytest.approx(np.ones(5), abs=1e-4)
+
+
+def test_words_are_looked_up():
+    rng = np.random.default_rng(7)
+    hashes = np.unique(np.append(rng.integers(2, 1 << 64, 999, dtype=np.uint64), np.array([1, 2, 3, 4, 5], dtype=np.uint64)))
+    vocabulary = lm.build_vocabulary(hashes, np.arange(len(hashes)) + 1, 10**6, 2000, head_words=100)
+    asked = np.concatenate([hashes, hashes + np.uint64(1), np.array([0, 6, (1 << 64) - 1], dtype=np.uint64)])
+    place, number = vocabulary.look_up(asked)
+    at = {int(h): i for i, h in enumerate(hashes)}
+    assert place.tolist() == [at.get(int(h), -1) for h in asked]
+    assert number.tolist() == [vocabulary.head[at[int(h)]] if int(h) in at else vocabulary.size for h in asked]
+
+
+def test_a_step_of_training_takes_few_calls():
+    """Elementwise work is done for all classes at once: calls per step don't add up over classes (1,900 when they did)."""
+    rng = np.random.default_rng(8)
+    hashes = np.unique(np.append(rng.integers(2, 1 << 64, 20_000, dtype=np.uint64), np.uint64(1)))
+    counts = (1e7 / (1 + rng.permutation(len(hashes)))).astype(np.int64)
+    vocabulary = lm.build_vocabulary(hashes, counts, int(counts.sum()), len(hashes))
+    texts = [rng.choice(vocabulary.head, 512, p=counts / counts.sum()) for _ in range(lm.SEQUENCES)]
+    watched = cProfile.Profile()
+    watched.runcall(lm.train_shard, texts, lm.new_weights(vocabulary), vocabulary, 1)
+    assert pstats.Stats(watched).total_calls / (512 // lm.WINDOW) < 800
