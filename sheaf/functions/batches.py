@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Bytes of an Arrow batch, about; by default 10,000 rows of any length go together.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:

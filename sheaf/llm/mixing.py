@@ -9,6 +9,7 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -195,11 +196,18 @@ def draws(
     tree = Tree(np.array(taken or [0], dtype=np.int64), max(1, -(-int(words) // shard_words)), seed)
     shared = spark.sparkContext.broadcast((tree, *(np.array(x, dtype=np.int64) for x in (found.whole, units, found.partial))))
 
-    table = [
-        (i, s, max(1, n // BUCKET_ROWS), size, target, partial)
-        for i, (s, n, size, target, partial) in enumerate(zip(found.sources, found.rows, found.sizes, found.targets, found.partial, strict=True))
-    ]
-    sources = F.broadcast(spark.createDataFrame(table, "rank int, named string, buckets long, source_size long, target double, partial long"))
+    # As an Arrow table, which reaches the executors without Python workers of its own.
+    table = pa.table(
+        {
+            "rank": pa.array(range(len(found.sources)), pa.int32()),
+            "named": pa.array(found.sources, pa.string()),
+            "buckets": pa.array([max(1, n // BUCKET_ROWS) for n in found.rows], pa.int64()),
+            "source_size": pa.array(found.sizes, pa.int64()),
+            "target": pa.array(found.targets, pa.float64()),
+            "partial": pa.array(found.partial, pa.int64()),
+        }
+    )
+    sources = F.broadcast(spark.createDataFrame(table))
 
     def placed(df: DataFrame) -> DataFrame:
         bucket = (F.col("order") / F.lit(float(1 << 63)) * F.col("buckets")).cast("long")

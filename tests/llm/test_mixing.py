@@ -147,3 +147,16 @@ def test_odd_rows(spark):
             mixing.mixed_sizes(odd_docs(spark))
         finally:
             mixing.MAX_SOURCES = before
+
+
+def test_the_sources_need_no_python_workers_of_their_own(spark, monkeypatch):
+    docs, rows = corpus(spark)
+
+    def refused(*_, **__):
+        raise AssertionError("rows went through an RDD of Python objects")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refused)
+    found = mixing.mixed_sizes(docs)
+    assert [f.simpleString() for f in found.schema if f.name in ("source_size", "target")] == ["source_size:bigint", "target:double"]
+    assert {r.doc_id for r in found.collect()} == {r[0] for r in rows}
+    assert mixing.mixed_sizes(docs.where("false")).collect() == []
