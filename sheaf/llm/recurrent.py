@@ -76,15 +76,55 @@ def backward(errors: np.ndarray, trace: Trace, weights: np.ndarray) -> tuple[np.
     return into, gradient
 
 
+def _signs(width: int) -> np.ndarray:
+    return np.repeat(np.array([-1, -1, 1], dtype=np.float32), width)
+
+
+def word_table(embed: np.ndarray, into: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Each word's part of the new value, and of the gates with the sign turned: (words, 3 width)."""
+    return (embed @ into + bias) * _signs(len(bias) // 3)
+
+
+def forward_words(words: np.ndarray, table: np.ndarray, state: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """States after each step, with a one behind each: (steps, rows, width + 1), of ``words`` (steps, rows), by their rows of ``table``."""
+    (steps, rows), width, one = words.shape, state.shape[1], np.float32(1)
+    across = weights * _signs(width)
+    states = np.ones((steps, rows, width + 1), dtype=np.float32)
+    product, own = (np.empty((rows, 3 * width), dtype=np.float32) for _ in range(2))
+    gate, new = np.empty((rows, 2 * width), dtype=np.float32), np.empty((rows, width), dtype=np.float32)
+    # An exponential that overflows makes a gate zero.
+    with np.errstate(over="ignore"):
+        for t in range(steps):
+            after = states[t, :, :width]
+            np.matmul(state, across, out=product)
+            table.take(words[t], axis=0, out=own, mode="clip")
+            np.add(own[:, : 2 * width], product[:, : 2 * width], out=gate)
+            np.exp(gate, out=gate)
+            gate += one
+            np.reciprocal(gate, out=gate)
+            np.multiply(gate[:, :width], product[:, 2 * width :], out=new)
+            new += own[:, 2 * width :]
+            np.tanh(new, out=new)
+            np.subtract(state, new, out=after)
+            after *= gate[:, width:]
+            after += new
+            state = after
+    return states
+
+
 class Columns:
     """The same layer where many sequences go side by side: arrays are (steps, width, rows), so that each gate is one block."""
 
     @staticmethod
-    def projected(inputs: np.ndarray, into: np.ndarray, bias: np.ndarray) -> np.ndarray:
-        """The input's part of the new value, and half of that of the gates, (steps, 3 width, rows), of inputs (steps, rows, depth)."""
-        half = np.repeat(np.array([0.5, 0.5, 1], dtype=np.float32), len(bias) // 3)
-        found = np.matmul((into * half).T, inputs.transpose(0, 2, 1))
-        found += (bias * half)[:, None]
+    def projected(inputs: np.ndarray, into: np.ndarray, bias: np.ndarray | None = None) -> np.ndarray:
+        """The input's part of the new value, and of the gates with the sign turned, (steps, 3 width, rows), of inputs (steps, rows, depth).
+
+        Without a ``bias`` the last row of ``into`` is it, and inputs end with a one.
+        """
+        sign = _signs(into.shape[1] // 3)
+        found = np.matmul((into * sign).T, inputs.transpose(0, 2, 1))
+        if bias is not None:
+            found += (bias * sign)[:, None]
         return found
 
     @staticmethod
@@ -96,25 +136,26 @@ class Columns:
         steps, _, rows = inputs.shape
         width = len(state)
         across = np.ascontiguousarray(weights.T)
-        # The logistic function by tanh, which needs no bounds: of half the sum.
-        across[: 2 * width] *= 0.5
+        across[: 2 * width] *= -1
         states = np.empty((steps + 1, width, rows), dtype=np.float32)
-        states[0] = state
+        states[0], one = state, np.float32(1)
         products, gates, fresh = (np.empty((steps if keep else 1, k * width, rows), dtype=np.float32) for k in (3, 2, 1))
-        for t in range(steps):
-            at = t if keep else 0
-            product, gate, new, after = products[at], gates[at], fresh[at], states[t + 1]
-            np.matmul(across, states[t], out=product)
-            np.add(inputs[t, : 2 * width], product[: 2 * width], out=gate)
-            np.tanh(gate, out=gate)
-            gate *= 0.5
-            gate += 0.5
-            np.multiply(gate[:width], product[2 * width :], out=new)
-            new += inputs[t, 2 * width :]
-            np.tanh(new, out=new)
-            np.subtract(states[t], new, out=after)
-            after *= gate[width:]
-            after += new
+        # An exponential that overflows makes a gate zero.
+        with np.errstate(over="ignore"):
+            for t in range(steps):
+                at = t if keep else 0
+                product, gate, new, after = products[at], gates[at], fresh[at], states[t + 1]
+                np.matmul(across, states[t], out=product)
+                np.add(inputs[t, : 2 * width], product[: 2 * width], out=gate)
+                np.exp(gate, out=gate)
+                gate += one
+                np.reciprocal(gate, out=gate)
+                np.multiply(gate[:width], product[2 * width :], out=new)
+                new += inputs[t, 2 * width :]
+                np.tanh(new, out=new)
+                np.subtract(states[t], new, out=after)
+                after *= gate[width:]
+                after += new
         return states[1:], Trace(states[:-1], gates, fresh, products[:, 2 * width :])
 
     @staticmethod
@@ -128,7 +169,7 @@ class Columns:
         for t in range(steps - 1, -1, -1):
             reset, update = trace.gates[t, :width], trace.gates[t, width:]
             new, before = trace.new[t], trace.before[t]
-            d_reset, d_update, d_new = (into[t, k * width : (k + 1) * width] for k in range(3))
+            d_reset, d_update, d_new = into[t, :width], into[t, width : 2 * width], into[t, 2 * width :]
             np.add(errors[t], carried, out=error)
             np.subtract(np.float32(1), update, out=left)
             left *= error

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -13,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.recurrent import Adagrad, Columns
+from sheaf.llm.recurrent import Adagrad, Columns, forward_words, word_table
 from sheaf.llm.text import SPACED, doc_hash, text_bytes, word_hashes
 from sheaf.plans.staging import checkpointed
 
@@ -27,6 +28,8 @@ WIDTH, DEPTH = 32, 24
 WINDOW, SEQUENCES, SCORED = 16, 192, 384
 #: States that wait for their softmax, in scoring.
 HELD = 8192
+#: Tokens of a task's texts that are scored together, so that many sequences go side by side, and that are counted together.
+POOLED, COUNTED = 1 << 22, 1 << 21
 #: A round trains shards of about so many tokens from the same start, and averages their weights.
 SHARD_TOKENS, ROUNDS = 300_000, 3
 #: A training text is learned from in pieces of so many tokens.
@@ -132,7 +135,7 @@ SAFE = 60
 class _Softmax:
     """Logits and probabilities of the targets' classes, and of the words of each one's class.
 
-    Targets go by class, the tail's last (``order``), so that each class is a slice. ``classes`` has a column for each
+    Targets go by class, the tail's last (``order``), so that each class is a slice. ``classes`` has a row for each
     target. The logits of all classes' words stand one after the other in one array; each target of the head has
     ``sizes`` of them from ``starts``.
     """
@@ -140,7 +143,7 @@ class _Softmax:
     def __init__(self, states: np.ndarray, targets: np.ndarray, w: Weights, bounds: np.ndarray):
         """``states`` (rows, width + 1) end with a one, for the biases; rows with a target of -1 count for nothing."""
         self.order = np.flatnonzero(targets >= 0)
-        found = (np.searchsorted(bounds, targets[self.order], side="right") - 1).astype(np.uint16)
+        found = np.repeat(np.arange(len(bounds), dtype=np.uint16), np.append(np.diff(bounds), 1))[targets[self.order]]
         by_class = np.argsort(found, kind="stable")
         self.order, self.found = self.order[by_class], found[by_class]
         self.rows, targets, self.states = len(targets), targets[self.order], states.take(self.order, axis=0)
@@ -150,7 +153,7 @@ class _Softmax:
         self.sizes = np.repeat(sizes, counts)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.places = self.starts + targets[: edges[-1]] - np.repeat(bounds[:-1], counts)
-        self.classes = w["classes"] @ self.states.T
+        self.classes = self.states @ w["classes"].T
         self.words = np.empty(int(ends[-1]), dtype=np.float32)
         rows = zip(edges[:-1].tolist(), edges[1:].tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), ends.tolist(), strict=True)
         #: Of each class its targets, its words and their logits.
@@ -165,7 +168,7 @@ class _Softmax:
 
     def _shift(self) -> None:
         if max(self.classes.max(initial=0), -self.classes.min(initial=0)) > SAFE:
-            self.classes -= self.classes.max(axis=0)
+            self.classes -= self.classes.max(axis=1, keepdims=True)
         if max(self.words.max(initial=0), -self.words.min(initial=0)) > SAFE:
             self.words -= np.repeat(np.maximum.reduceat(self.words, self.starts), self.sizes)
 
@@ -174,11 +177,11 @@ class _Softmax:
         np.exp(self.classes, out=self.classes)
         np.exp(self.words, out=self.words)
         inner = np.add.reduceat(self.words, self.starts) if len(self.starts) else np.zeros(0, dtype=np.float32)
-        return np.ones(len(self.classes), dtype=np.float32) @ self.classes, inner
+        return self.classes @ np.ones(self.classes.shape[1], dtype=np.float32), inner
 
     def log_likelihoods(self) -> np.ndarray:
         """Natural log of the probability of each row's target; logits are used up."""
-        part = self.classes[self.found, np.arange(len(self.found))].astype(np.float64)
+        part = self.classes[np.arange(len(self.found)), self.found].astype(np.float64)
         head = self.words[self.places]
         sums, inner = self._exponentials()
         part -= np.log(sums)
@@ -191,21 +194,21 @@ class _Softmax:
         """Of the mean loss by each row's state, by the classes and by the words; logits are used up."""
         n = np.float32(max(1, len(self.found)) ** -1)
         sums, inner = self._exponentials()
-        self.classes *= n / sums
-        self.classes[self.found, np.arange(len(self.found))] -= n
+        self.classes *= (n / sums)[:, None]
+        self.classes[np.arange(len(self.found)), self.found] -= n
         self.words *= np.repeat(n / inner, self.sizes)
         self.words[self.places] -= n
         # After the targets' a row of zeros, for rows without a target.
         back, of_head = np.zeros((len(self.found) + 1, WIDTH), dtype=np.float32), np.empty((len(self.sizes), WIDTH), dtype=np.float32)
-        np.matmul(self.classes.T, w["classes"][:, :-1], out=back[:-1])
-        words = np.zeros_like(w["words"])
+        np.matmul(self.classes, w["classes"][:, :-1], out=back[:-1])
+        words, unbiased = np.zeros_like(w["words"]), np.ascontiguousarray(w["words"][:, :-1])
         for at, own, error in self.groups:
-            np.matmul(error, w["words"][own, :-1], out=of_head[at])
+            np.matmul(error, unbiased[own], out=of_head[at])
             np.matmul(error.T, self.states[at], out=words[own])
         back[: len(of_head)] += of_head
         places = np.full(self.rows, len(self.found))
         places[self.order] = np.arange(len(self.found))
-        return back.take(places, axis=0), self.classes @ self.states, words
+        return back.take(places, axis=0), self.classes.T @ self.states, words
 
 
 def _rows(states: np.ndarray) -> np.ndarray:
@@ -233,26 +236,34 @@ class _Sequences:
     @classmethod
     def of(cls, texts: list[np.ndarray], end: int) -> _Sequences:
         lengths = np.array([len(t) for t in texts], dtype=np.int64)
-        tokens = np.concatenate([x for t in texts for x in ([end], t)]).astype(np.int64, copy=False)
+        before = np.array([end], dtype=texts[0].dtype)
+        tokens = np.concatenate([x for t in texts for x in (before, t)])
         return cls(tokens, np.cumsum(lengths + 1) - lengths - 1, lengths, end)
 
     def window(self, start: int, steps: int) -> tuple[np.ndarray, np.ndarray]:
         """Inputs and targets (-1: over) of some steps of those that are not over before."""
         going = int(np.searchsorted(-self.lengths, -start))
-        steps = min(steps, int(self.lengths[0]) - start) if going else 0
-        nth = np.arange(start, start + steps)[:, None]
-        places, inside = self.starts[:going] + nth, nth < self.lengths[:going]
-        inputs = np.where(inside, self.tokens.take(places, mode="clip"), self.end)
-        return inputs, np.where(inside, self.tokens.take(places + 1, mode="clip"), -1)
+        return self.at(np.arange(going), np.full(going, start), steps)
+
+    def at(self, which: np.ndarray, reached: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
+        """Inputs and targets (-1: over) of some steps of those named, each from where it has been reached."""
+        left = self.lengths[which] - reached
+        nth = np.arange(min(steps, int(left.max(initial=0))))[:, None]
+        places, inside = self.starts[which] + reached + nth, nth < left
+        inputs = np.where(inside, self.tokens.take(places, mode="clip"), self.tokens.dtype.type(self.end))
+        return inputs, np.where(inside, self.tokens.take(places + 1, mode="clip").astype(np.int64, copy=False), -1)
 
 
 def score_sequences(texts: list[np.ndarray], w: Weights, vocabulary: Vocabulary) -> np.ndarray:
     """Log-likelihood (natural) of each whole sequence of head numbers, its state carried from window to window.
 
-    Sequences of similar length go side by side; those that are over leave the batch.
+    The longest begin, side by side; when one is over, the next longest takes its place in the following window.
     """
     result = np.zeros(len(texts))
-    order = np.array(sorted(range(len(texts)), key=lambda i: -len(texts[i])), dtype=np.int64)
+    order = np.array(sorted((i for i in range(len(texts)) if len(texts[i])), key=lambda i: -len(texts[i])), dtype=np.int64)
+    if not len(order):
+        return result
+    side = _Sequences.of([texts[i] for i in order], vocabulary.end)
     waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     held = 0
 
@@ -264,21 +275,28 @@ def score_sequences(texts: list[np.ndarray], w: Weights, vocabulary: Vocabulary)
             waiting.clear()
             held = 0
 
-    for first in range(0, len(order), SCORED):
-        batch = order[first : first + SCORED]
-        side = _Sequences.of([texts[i] for i in batch], vocabulary.end)
-        state, start = np.zeros((WIDTH, len(batch)), dtype=np.float32), 0
-        inputs, targets = side.window(start, WINDOW)
-        while inputs.size:
-            embedded = w["embed"].take(inputs, axis=0)
-            states, _ = Columns.traced(Columns.projected(embedded, w["into"], w["into_bias"]), state[:, : inputs.shape[1]], w["recur"], keep=False)
-            waiting.append((_rows(states), targets.ravel(), np.tile(batch[: inputs.shape[1]], len(inputs))))
-            held += targets.size
-            if held >= HELD:
-                flush()
-            start += WINDOW
-            state = states[-1]
-            inputs, targets = side.window(start, WINDOW)
+    which = np.arange(min(SCORED, len(order)))
+    reached, begun = np.zeros(len(which), dtype=np.int64), len(which)
+    state, table = np.zeros((len(which), WIDTH), dtype=np.float32), word_table(w["embed"], w["into"], w["into_bias"])
+    while len(which):
+        inputs, targets = side.at(which, reached, WINDOW)
+        states = forward_words(inputs, table, state, w["recur"])
+        waiting.append((states.reshape(-1, WIDTH + 1), targets.ravel(), np.tile(order[which], len(inputs))))
+        held += targets.size
+        if held >= HELD:
+            flush()
+        reached += WINDOW
+        state = states[-1, :, :WIDTH].copy()
+        over = np.flatnonzero(reached >= side.lengths[which])
+        if len(over):
+            free = over[: len(order) - begun]
+            which[free] = np.arange(begun, begun + len(free))
+            reached[free] = 0
+            state[free] = 0
+            begun += len(free)
+            if len(free) < len(over):
+                going = np.delete(np.arange(len(which)), over[len(free) :])
+                which, reached, state = which[going], reached[going], state[going]
     flush()
     return result
 
@@ -301,46 +319,39 @@ def train_shard(texts: list[np.ndarray], w: Weights, vocabulary: Vocabulary, see
 
 
 def _learn(inputs: np.ndarray, targets: np.ndarray, state: np.ndarray, w: Weights, bounds: np.ndarray, optimizer: Adagrad) -> np.ndarray:
-    embedded = w["embed"].take(inputs, axis=0)
-    states, trace = Columns.traced(Columns.projected(embedded, w["into"], w["into_bias"]), state, w["recur"])
+    embedded = np.ones((*inputs.shape, DEPTH + 1), dtype=np.float32)
+    embedded[:, :, :DEPTH] = w["embed"].take(inputs, axis=0)
+    states, trace = Columns.traced(Columns.projected(embedded, np.vstack([w["into"], w["into_bias"]])), state, w["recur"])
     back, classes, words = _Softmax(_rows(states), targets.ravel(), w, bounds).gradients(w)
     errors = np.ascontiguousarray(back.reshape(*targets.shape, WIDTH).transpose(0, 2, 1))
     into, recur = Columns.backward(errors, trace, w["recur"])
-    rows = np.matmul(w["into"], into).transpose(0, 2, 1).reshape(-1, DEPTH)
-    optimizer.apply(
-        {
-            "classes": classes,
-            "words": words,
-            "into": np.matmul(into, embedded).sum(axis=0).T,
-            "into_bias": into.sum(axis=2).sum(axis=0),
-            "recur": recur,
-        }
-    )
+    rows = np.matmul(into.transpose(0, 2, 1), np.ascontiguousarray(w["into"].T)).reshape(-1, DEPTH)
+    of_input = np.matmul(into, embedded).sum(axis=0).T
+    optimizer.apply({"classes": classes, "words": words, "into": of_input[:-1], "into_bias": of_input[-1], "recur": recur})
     optimizer.apply_rows("embed", inputs.ravel(), rows)
     return states[-1]
 
 
-def _token_hashes(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
-    """Index and token hashes, the end last, of each text."""
+def _token_hashes(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each range of texts: its first index, the hashes of its tokens, each text's end last, and where each text's start (and the end)."""
     for first, words, starts in word_hashes(texts, SPACED):
-        for k in range(len(starts) - 1):
-            yield first + k, np.append(words[starts[k] : starts[k + 1]], END)
+        yield first, np.insert(words, starts[1:], END), starts + np.arange(len(starts))
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
     """``(word, times)``: how often each token stands in the texts, words by their 64-bit hash."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in batches:
-            parts, held = [], 0
-            for _, tokens in _token_hashes(batch.column(0).to_pylist()):
+            for _, tokens, _ in _token_hashes(batch.column(0).to_pylist()):
                 parts.append(tokens)
                 held += len(tokens)
-                if held > 1 << 22:
+                if held > COUNTED:
                     yield _counted(parts)
                     parts, held = [], 0
-            if parts:
-                yield _counted(parts)
+        if parts:
+            yield _counted(parts)
 
     slim = docs.select(text_bytes(F.col("text"))).mapInArrow(count, "word long, times long")
     return slim.groupBy("word").agg(F.sum("times").alias("times"))
@@ -386,34 +397,37 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, shard_t
     spark = docs.sparkSession
     shards = max(1, round(vocabulary.tokens / rounds / shard_tokens))
     shared_words = spark.sparkContext.broadcast(vocabulary)
+    kind = np.min_scalar_type(vocabulary.size)
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [pa.array(shared_words.value.look_up(tokens)[1].astype(np.int32)) for _, tokens in _token_hashes(batch.column(1).to_pylist())]
-            lists = pa.array([x.to_numpy() for x in ids], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["order", "ids"])
+            ids = []
+            for _, tokens, starts in _token_hashes(batch.column(1).to_pylist()):
+                numbers = shared_words.value.look_up(tokens)[1].astype(kind)
+                ids += [numbers[i:j].tobytes() for i, j in pairwise(starts.tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["order", "ids"])
 
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("order"), text_bytes(F.col("text"))).mapInArrow(numbered, "order long, ids array<int>")
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("order"), text_bytes(F.col("text"))).mapInArrow(numbered, "order long, ids binary")
     texts = checkpointed(texts)
     for k in range(rounds):
         start = spark.sparkContext.broadcast(weights)
 
         def learn(batches: Iterator[pa.RecordBatch], start=start, k=k) -> Iterator[pa.RecordBatch]:
-            for shard, part in _shards(batches):
+            for shard, part in _shards(batches, kind):
                 own = {name: x.copy() for name, x in start.value.items()}
                 train_shard(part, own, shared_words.value, k * 1_000_003 + shard)
                 flat = np.concatenate([own[name].ravel() for name in sorted(own)])
-                blocks = [flat[i : i + BLOCK] for i in range(0, len(flat), BLOCK)]
-                arrays = [pa.array(np.arange(len(blocks))), pa.array(np.full(len(blocks), shard)), pa.array(blocks, pa.list_(pa.float32()))]
+                blocks = [flat[i : i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)]
+                arrays = [pa.array(np.arange(len(blocks))), pa.array(np.full(len(blocks), shard)), pa.array(blocks, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["block", "shard", "part"])
 
         dealt = texts.where(F.pmod(F.xxhash64("order", F.lit("round")), F.lit(rounds)) == k)
         dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("order", F.lit("shard")), F.lit(shards)))
         trained = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "order").select("shard", "ids")
-        means = trained.mapInArrow(learn, "block long, shard long, part array<float>").groupBy("block").applyInPandas(_mean, "block long, part array<float>")
+        means = trained.mapInArrow(learn, "block long, shard long, part binary").groupBy("block").applyInPandas(_mean, "block long, part binary")
         rows = means.toArrow().to_pandas().sort_values("block")
         if len(rows):
-            flat = np.concatenate(rows["part"].to_list()).astype(np.float32)
+            flat = np.frombuffer(b"".join(rows["part"]), dtype=np.float32)
             for name in sorted(weights):
                 size = weights[name].size
                 weights[name], flat = flat[:size].reshape(weights[name].shape).copy(), flat[size:]
@@ -421,19 +435,19 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, shard_t
 
 
 def _mean(rows: pd.DataFrame) -> pd.DataFrame:
-    parts = np.stack(rows.sort_values("shard")["part"].to_list()).astype(np.float64)
-    return pd.DataFrame({"block": rows["block"].iloc[:1].to_list(), "part": [parts.mean(axis=0).astype(np.float32)]})
+    parts = np.stack([np.frombuffer(part, dtype=np.float32) for part in rows.sort_values("shard")["part"]]).astype(np.float64)
+    return pd.DataFrame({"block": rows["block"].iloc[:1].to_list(), "part": [parts.mean(axis=0).astype(np.float32).tobytes()]})
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray]]]:
+def _shards(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[tuple[int, list[np.ndarray]]]:
     shard, held = None, []
     for batch in batches:
-        for now, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for now, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if now != shard and held:
                 yield shard, held
                 held = []
             shard = now
-            held.append(ids.values.to_numpy().astype(np.int64))
+            held.append(np.frombuffer(ids, dtype=kind).astype(np.int64))
     if held:
         yield shard, held
 
@@ -450,30 +464,9 @@ def score(docs: DataFrame, vocabulary: Vocabulary, weights: Weights, counts: Dat
     its share of the smoothed counts.
     """
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, weights))
-    denominator = float(np.log10(vocabulary.tokens + 0.5 * (vocabulary.types + 1)))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, weights = shared.value
-        logs, tail = np.log10(vocabulary.counts + 0.5), float(np.log10(vocabulary.tail_mass))
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            keys = [xxhash.xxh64_intdigest(t) - (1 << 63) for t in texts]
-            sequences: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(texts)
-            rows = np.zeros((len(texts), 4))
-            rare: list[tuple[int, np.ndarray, np.ndarray]] = []
-            for i, tokens in _token_hashes(texts):
-                place, sequences[i] = vocabulary.look_up(tokens)
-                frequent = place[place >= 0]
-                beyond = sequences[i] == vocabulary.size
-                rows[i] = len(tokens), (vocabulary.counts[frequent] > 0).sum(), logs[frequent].sum() - len(tokens) * denominator, logs[place[beyond & (place >= 0)]].sum() - beyond.sum() * tail
-                if len(frequent) < len(tokens):
-                    rare.append((i, *np.unique(tokens[place < 0], return_counts=True)))
-            rows[:, 3] += score_sequences(sequences, weights, vocabulary) / np.log(10)
-            yield _parts(ids, keys, np.arange(len(texts)), np.array(keys, dtype=np.int64), np.zeros(len(texts), dtype=np.int64), rows)
-            owners = np.repeat([i for i, _, _ in rare], [len(x) for _, x, _ in rare]).astype(np.int64)
-            if len(owners):
-                words = np.concatenate([x for _, x, _ in rare]).view(np.int64)
-                yield _parts(ids, keys, owners, words, np.concatenate([n for _, _, n in rare]))
+        return _looked_up(batches, *shared.value)
 
     parts = docs.select(F.col("doc_id").cast("long"), text_bytes(F.col("text"))).mapInArrow(look, PARTS)
     joined = parts.join(counts.withColumnRenamed("times", "count"), "word", "left")
@@ -489,13 +482,73 @@ def score(docs: DataFrame, vocabulary: Vocabulary, weights: Weights, counts: Dat
     return sums.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows")))).drop("row", "rows", "key")
 
 
-def _parts(ids: list, keys: list[int], owners: np.ndarray, words: np.ndarray, times: np.ndarray, rows: np.ndarray | None = None) -> pa.RecordBatch:
+def _counted_by(owners: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs, and how often each occurs."""
+    order = np.lexsort((words, owners))
+    owners, words = owners[order], words[order]
+    first = np.flatnonzero(np.append(True, (owners[1:] != owners[:-1]) | (words[1:] != words[:-1])))
+    return owners[first], words[first], np.diff(np.append(first, len(words)))
+
+
+@dataclass
+class _Pool:
+    """Texts that wait to be scored together: the id, key and sums of each, and its head numbers."""
+
+    ids: list[int | None] = field(default_factory=list)
+    keys: list[np.ndarray] = field(default_factory=list)
+    rows: list[np.ndarray] = field(default_factory=list)
+    sequences: list[np.ndarray] = field(default_factory=list)
+    tokens: int = 0
+
+    def add(self, ids: list[int | None], keys: np.ndarray, rows: np.ndarray, sequences: list[np.ndarray]) -> None:
+        self.ids += ids
+        self.keys.append(keys)
+        self.rows.append(rows)
+        self.sequences += sequences
+        self.tokens += sum(map(len, sequences))
+
+    def scored(self, weights: Weights, vocabulary: Vocabulary) -> pa.RecordBatch:
+        """The texts' rows of ``PARTS``."""
+        keys, rows = np.concatenate(self.keys), np.concatenate(self.rows)
+        rows[:, 3] += score_sequences(self.sequences, weights, vocabulary) / np.log(10)
+        return _parts(pa.array(self.ids, pa.int64()), keys, keys, np.zeros(len(keys), dtype=np.int64), rows)
+
+
+def _looked_up(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, weights: Weights) -> Iterator[pa.RecordBatch]:
+    """Rows of ``PARTS`` of texts and their ids."""
+    denominator = float(np.log10(vocabulary.tokens + 0.5 * (vocabulary.types + 1)))
+    # What is behind the last place, -1, holds for words that aren't frequent.
+    logs, seen = np.append(np.log10(vocabulary.counts + 0.5), 0), np.append(vocabulary.counts > 0, False)
+    tail, kind = float(np.log10(vocabulary.tail_mass)), np.min_scalar_type(vocabulary.size)
+    pool = _Pool()
+    for batch in batches:
+        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        keys = np.array([xxhash.xxh64_intdigest(t) - (1 << 63) for t in texts], dtype=np.int64)
+        for first, tokens, starts in _token_hashes(texts):
+            n, begin, sizes = len(starts) - 1, starts[:-1], np.diff(starts)
+            place, numbers = vocabulary.look_up(tokens)
+            beyond, own = numbers == vocabulary.size, logs[place]
+            base = np.add.reduceat(own, begin) - sizes * denominator
+            model = np.add.reduceat(np.where(beyond, own - tail, 0), begin)
+            known = np.add.reduceat(seen[place], begin, dtype=np.int64)
+            pool.add(ids[first : first + n], keys[first : first + n], np.stack([sizes, known, base, model], axis=1), np.split(numbers.astype(kind), starts[1:-1]))
+            rare = np.flatnonzero(place < 0)
+            if len(rare):
+                owners, words, times = _counted_by(np.repeat(np.arange(first, first + n), sizes)[rare], tokens[rare])
+                yield _parts(batch.column(0).take(pa.array(owners)), keys[owners], words.view(np.int64), times)
+            if pool.tokens >= POOLED:
+                yield pool.scored(weights, vocabulary)
+                pool = _Pool()
+    if pool.ids:
+        yield pool.scored(weights, vocabulary)
+
+
+def _parts(ids: pa.Array, keys: np.ndarray, words: np.ndarray, times: np.ndarray, rows: np.ndarray | None = None) -> pa.RecordBatch:
     """Rows of ``PARTS``: with ``rows`` the sums of each text, otherwise its words that aren't frequent."""
-    empty = [pa.nulls(len(owners), kind) for kind in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+    sums = [pa.nulls(len(keys), kind) for kind in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
     if rows is not None:
-        empty = [pa.array(rows[:, 0].astype(np.int64)), pa.array(rows[:, 1].astype(np.int64)), pa.array(rows[:, 2]), pa.array(rows[:, 3])]
-    arrays = [pa.array(ids, pa.int64()).take(pa.array(owners)), pa.array(np.array(keys, dtype=np.int64)[owners]), pa.array(words), pa.array(times), *empty]
-    return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "key", "word", "n", "n_tokens", "n_known", "base", "model"])
+        sums = [pa.array(rows[:, 0].astype(np.int64)), pa.array(rows[:, 1].astype(np.int64)), pa.array(rows[:, 2]), pa.array(rows[:, 3])]
+    return pa.RecordBatch.from_arrays([ids, pa.array(keys), pa.array(words), pa.array(times), *sums], names=["doc_id", "key", "word", "n", "n_tokens", "n_known", "base", "model"])
 
 
 def lm_scores(docs: DataFrame, training: Column) -> DataFrame:

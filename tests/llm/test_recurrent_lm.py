@@ -5,11 +5,12 @@ from collections import Counter
 from math import isclose, log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from sheaf.llm import recurrent_lm as lm
-from sheaf.llm.recurrent import Columns, backward, forward, traced
+from sheaf.llm.recurrent import Columns, backward, forward, forward_words, traced, word_table
 from sheaf.llm.text import doc_hash
 from tests.llm.corpora import SCHEMA, no_docs, odd_docs, spaced
 
@@ -194,3 +195,37 @@ def test_a_step_of_training_takes_few_calls():
     watched = cProfile.Profile()
     watched.runcall(lm.train_shard, texts, lm.new_weights(vocabulary), vocabulary, 1)
     assert pstats.Stats(watched).total_calls / (512 // lm.WINDOW) < 800
+
+
+def test_the_layer_by_words_is_the_plain_one():
+    rng = np.random.default_rng(9)
+    draw = lambda *shape: rng.normal(size=shape).astype(np.float32)
+    embed, into, bias, weights, state = draw(11, 3), draw(3, 12), draw(12), draw(4, 12), draw(7, 4)
+    words = rng.integers(0, 11, (5, 7))
+    found = forward_words(words, word_table(embed, into, bias), state, weights)
+    assert np.allclose(found[:, :, :4], forward(embed[words] @ into + bias, state, weights), atol=1e-5) and (found[:, :, 4] == 1).all()
+
+
+def test_texts_of_all_batches_are_scored_side_by_side(monkeypatch):
+    """A task's texts are scored together (one batch at a time before, so that few sequences went side by side)."""
+    texts = [" ".join(f"w{k % (3 + i % 7)}" for k in range(i)) for i in range(60)]
+    hashes = np.unique(np.concatenate([t for _, t, _ in lm._token_hashes([t.encode() for t in texts])]))
+    vocabulary = lm.build_vocabulary(hashes[::2], np.arange(len(hashes[::2])) + 1, 500, 20, head_words=4, classes=2)
+    weights, calls, scored = random_weights(vocabulary), [], lm.score_sequences
+
+    def found(size):
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array(range(i, min(60, i + size))), pa.array([t.encode() for t in texts[i : i + size]])], names=["doc_id", "text"])
+            for i in range(0, 60, size)
+        ]
+        rows = pa.Table.from_batches(lm._looked_up(iter(batches), vocabulary, weights)).to_pandas()
+        return rows.sort_values(["doc_id", "word", "n_tokens"]).reset_index(drop=True)
+
+    monkeypatch.setattr(lm, "score_sequences", lambda sequences, *rest: calls.append(len(sequences)) or scored(sequences, *rest))
+    together, apart = found(60), found(7)
+    assert calls == [60, 60]
+    assert (together.drop(columns="model") == apart.drop(columns="model")).equals(together.drop(columns="model").notna())
+    assert np.allclose(together["model"], apart["model"], atol=1e-3, equal_nan=True)
+    monkeypatch.setattr(lm, "POOLED", 100)
+    bounded = found(7)
+    assert sum(calls) == 180 and max(calls[2:]) < 20 and np.allclose(together["model"], bounded["model"], atol=1e-3, equal_nan=True)
